@@ -20,6 +20,10 @@ SQL_CONF = {
 }
 
 
+# Scratch folder of local sessions that name no shared one, by application.
+_local_scratch: dict[str, str] = {}
+
+
 def apply_sql_conf(spark: SparkSession) -> SparkSession:
     """Set the runtime settings on a session that somebody else built."""
     for name, value in SQL_CONF.items():
@@ -46,8 +50,9 @@ def scratch_root(spark: SparkSession) -> str:
     if not shared:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder that every executor can reach")
-        shared = tempfile.mkdtemp(prefix="lakestar-")
-        spark.conf.set("spark.checkpoint.dir", shared)
+        app = spark.sparkContext.applicationId
+        shared = _local_scratch.get(app) or tempfile.mkdtemp(prefix="run-")
+        _local_scratch[app] = shared
     return f"{shared.rstrip('/')}/lakestar-{spark.sparkContext.applicationId}"
 
 
