@@ -7,7 +7,7 @@ from typing import Literal
 
 from pyspark.sql import DataFrame, Window, functions as F
 
-from lakestar.operators.keys import PART, POS, by_part, part_sizes, sorted_table, total_order
+from lakestar.operators.keys import PART, POS, by_part, last_positions, sorted_table, total_order
 from lakestar.operators.skew import HOT_ROWS, hash_of, hot_hashes
 
 
@@ -61,7 +61,7 @@ def next_value(
 
 def _next_across_ranges(df: DataFrame, keys: Sequence[str], order: Sequence[str], value: str, name: str) -> DataFrame:
     table = sorted_table(df, [*keys, *order])
-    parts = sorted(part_sizes(table))
+    parts = sorted(last_positions(table))
     following = F.struct(F.struct(*keys).alias("key"), F.col(value).alias("value"))
     # The last row of a range is followed by the first row of the next one: one row per range, safe to broadcast.
     heads = table.filter(F.col(POS) == 0).select(

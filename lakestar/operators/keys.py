@@ -69,9 +69,9 @@ def sorted_table(df: DataFrame, order: Sequence[str]) -> DataFrame:
     )
 
 
-def part_sizes(table: DataFrame) -> dict[int, int]:
-    """Rows per part of a sorted table: one entry per range partition, however large the table is."""
-    return {r[PART]: r["n"] for r in table.groupBy(PART).agg(F.max(POS).alias("n")).collect()}
+def last_positions(table: DataFrame) -> dict[int, int]:
+    """Highest POS of each part of a sorted table: one entry per range partition, however large the table is."""
+    return {r[PART]: r["last"] for r in table.groupBy(PART).agg(F.max(POS).alias("last")).collect()}
 
 
 def by_part(values: dict[int, int]) -> Column:
@@ -92,7 +92,7 @@ def dense_key(df: DataFrame, order: Sequence[str], name: str, copies: bool = Fal
         df = expand_copies(count_copies(df, "_copies"), "_copies", _COPY)
     table = sorted_table(df, total_order(df, order))
     offsets, before = {}, 0
-    for part, last in sorted(part_sizes(table).items()):
+    for part, last in sorted(last_positions(table).items()):
         offsets[part] = before
         before += last + 1
     return table.select(*[F.col(f"`{c}`") for c in columns], (by_part(offsets) + F.col(POS) + 1).alias(name))
