@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from lakestar.functions.dates import hours_between
+from lakestar.functions.dates import seconds_between
 from lakestar.operators.unions import union_all
 
 # The features and their order. The names that are numbers are measured items.
@@ -14,6 +14,8 @@ BASE_FEATURES = ["anchor_age", "gender", "icu_los", "num_diagnoses", "num_proced
 ITEM_FEATURES = ["50912", "50809", "51516", "50811", "220045", "220050", "220051", "220210", "223762", "220277"]
 FEATURES = BASE_FEATURES + ITEM_FEATURES
 
+SECONDS_PER_DAY = 86_400
+
 
 def encode_gender(gender: Column, male: str = "Male") -> Column:
     """1 for male, 0 for everything else, unknown included."""
@@ -48,8 +50,8 @@ def feature_table(
 
     Each source is reduced to one row per patient before the joins, which all use the same key.
     """
-    days = (hours_between(F.col("intime"), F.col("outtime")) / 24).alias("_days")
-    stays = icustays.select("subject_id", days).groupBy("subject_id").agg(F.sum("_days").alias("icu_los"))
+    seconds = seconds_between(F.col("intime"), F.col("outtime"))
+    stays = icustays.groupBy("subject_id").agg((F.sum(seconds) / SECONDS_PER_DAY).alias("icu_los"))
     measured = union_all([m.select("subject_id", "itemid", "valuenum") for m in measurements])
     rows = patients.select(
         "subject_id", F.col("anchor_age").cast("double").alias("anchor_age"), encode_gender(F.col("gender")).alias("gender")
