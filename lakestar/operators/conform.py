@@ -34,8 +34,8 @@ def conform(df: DataFrame, rules: Mapping[str, Rule]) -> DataFrame:
             out.append(c)
         elif callable(rule):
             out.append(rule(c).alias(field.name))
-        elif rule == "int" and not isinstance(field.dataType, StringType):
-            out.append(c.try_cast("int").alias(field.name))
+        elif not isinstance(field.dataType, StringType):
+            out.append(c.try_cast(rule).alias(field.name))
         else:
             out.append(_BY_TYPE[rule](c).alias(field.name))
     return df.select(*out)

@@ -7,6 +7,7 @@ from typing import Literal
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from lakestar.functions.casts import lenient_double
 from lakestar.functions.dates import date_key, hours_between, seconds_between
 from lakestar.operators.groups import first_by, first_value, next_value
 from lakestar.operators.joins import DimRef, lookup, star_join
@@ -126,6 +127,14 @@ def icu_mortality(expired: Column, left: Column, discharged: Column) -> Column:
     return F.when((expired == 1) & (apart <= DEATH_TOLERANCE_SECONDS), 1).otherwise(0)
 
 
+def _number(df: DataFrame, column: str) -> Column:
+    """The column for adding up: text as a double, a whole number as a double, an exact decimal as it is."""
+    kind = df.schema[column].dataType.typeName()
+    if kind == "string":
+        return lenient_double(F.col(column))
+    return F.col(column) if kind == "decimal" else F.col(column).cast("double")
+
+
 def _mean(value: Column) -> Column:
     """Mean as sum by count, so that decimal input is added up exactly."""
     return F.try_divide(F.sum(value).cast("double"), F.count(value))
@@ -133,9 +142,8 @@ def _mean(value: Column) -> Column:
 
 def vital_signs(chartevents: DataFrame, heart_rate: Sequence[object], spo2: Sequence[object]) -> DataFrame:
     """Mean heart rate and oxygen saturation per stay, in one scan of the chart that reads only their items."""
-    if chartevents.schema["value"].dataType.typeName() == "string":
-        chartevents = chartevents.withColumn("value", F.col("value").try_cast("double"))
-    charted = chartevents.select("stay_id", "itemid", "value").filter(F.col("itemid").isin(*heart_rate, *spo2))
+    value = _number(chartevents, "value").alias("value")
+    charted = chartevents.select("stay_id", "itemid", value).filter(F.col("itemid").isin(*heart_rate, *spo2))
 
     def mean_of(items: Sequence[object]) -> Column:
         return _mean(F.when(F.col("itemid").isin(*items), F.col("value")))
@@ -208,12 +216,6 @@ def fact_icu_monitoring(
     )
 
 
-def _number(df: DataFrame, column: str) -> Column:
-    """The column as it is if it is exact, else as a double."""
-    exact = df.schema[column].dataType.typeName() == "decimal"
-    return F.col(column) if exact else F.col(column).try_cast("double")
-
-
 # Diagnosis and procedure star
 
 
