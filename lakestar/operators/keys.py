@@ -50,6 +50,16 @@ def total_order(df: DataFrame, order: Sequence[str]) -> list[str]:
     return [*order, *rest]
 
 
+def staged(df: DataFrame) -> DataFrame:
+    """Write the frame to the shared scratch folder and read it back, so that what it took is done once.
+
+    Worth it before a sort over all tasks, which runs its input twice: once to find the ranges, once to sort.
+    """
+    path = scratch_path(df.sparkSession, "staged")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def sorted_table(df: DataFrame, order: Sequence[str]) -> DataFrame:
     """Sort the whole frame over all tasks and write it to the shared scratch folder.
 

@@ -11,7 +11,7 @@ from lakestar.functions.casts import lenient_double
 from lakestar.functions.dates import date_key, hours_between, seconds_between
 from lakestar.operators.groups import first_by, first_value, next_value
 from lakestar.operators.joins import DimRef, lookup, star_join
-from lakestar.operators.keys import dense_key, unique_id
+from lakestar.operators.keys import dense_key, staged, unique_id
 from lakestar.operators.skew import HOT_ROWS, count_copies, expand_copies
 from lakestar.plans.dims import UNKNOWN_ROUTE
 
@@ -99,7 +99,7 @@ def fact_admissions(
         "copies",
     )
     numbered = dense_key(
-        expand_copies(measures, "copies", "_copy_number"), ["admission_id"], "fact_admission_id"
+        expand_copies(staged(measures), "copies", "_copy_number"), ["admission_id"], "fact_admission_id"
     )
     return numbered.select("fact_admission_id", *[c for c in measures.columns if c != "copies"])
 
