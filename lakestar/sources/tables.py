@@ -7,6 +7,7 @@ from collections.abc import Callable, Iterable, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
+from py4j.protocol import Py4JError
 from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -102,8 +103,8 @@ def read_available(
     for path, columns in sources.items():
         try:
             result.used[path] = read_table(spark, f"{root}{path}", columns, fmt)
-        except PySparkException as error:
-            reason = error.getCondition() or type(error).__name__
+        except (PySparkException, Py4JError) as error:
+            reason = (isinstance(error, PySparkException) and error.getCondition()) or type(error).__name__
             log.warning("skipping source %s: %s", path, reason)
             result.skipped[path] = reason
     return result
