@@ -8,7 +8,11 @@ from typing import Literal
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from lakestar.operators.keys import require_unique
+from lakestar.operators.keys import require_unique, total_order
+from lakestar.operators.skew import hash_of, hot_hashes
+
+# Tasks that share the rows of a hot key.
+SALTS = 64
 
 
 def broadcast_if_small(df: DataFrame, max_rows: int = 1_000_000) -> DataFrame:
@@ -23,6 +27,9 @@ class DimRef:
     ``on`` pairs a fact column, or an expression of fact columns, with a dimension column; ``take`` names the columns
     to add, output name to dimension column. NULL matches NULL only if ``null_safe``. ``broadcast_rows`` asks for a
     broadcast when the dimension has at most so many rows; without it Spark decides by size.
+
+    Spark splits a hot fact key by itself where both sides are shuffled for the join. Where the dimension comes straight
+    out of a grouping on the same key it cannot: ``hot_rows`` then spreads the fact keys with more rows than that.
     """
 
     dim: DataFrame
@@ -30,6 +37,17 @@ class DimRef:
     take: Mapping[str, str]
     null_safe: bool = False
     broadcast_rows: int | None = None
+    hot_rows: int | None = None
+
+
+def _spread(fact: DataFrame, narrow: DataFrame, names: Sequence[str], keys: Sequence[str], hot: list[int]) -> tuple[DataFrame, DataFrame]:
+    """Give the rows of hot keys one of SALTS numbers, and repeat their dimension rows for each number."""
+    is_hot = hash_of(*names).isin(hot)
+    salt = F.when(is_hot, F.pmod(hash_of(*total_order(fact, names)), F.lit(SALTS))).otherwise(F.lit(0).cast("long"))
+    same_type = [F.col(key).cast(fact.schema[name].dataType) for key, name in zip(keys, names, strict=True)]
+    numbers = F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long"))
+    repeated = F.when(hash_of(*same_type).isin(hot), numbers).otherwise(F.array(F.lit(0).cast("long")))
+    return fact.withColumn("_fact_salt", salt), narrow.withColumn("_dim_salt", F.explode(repeated))
 
 
 def lookup(fact: DataFrame, ref: DimRef, how: Literal["left", "inner"] = "left") -> DataFrame:
@@ -41,12 +59,19 @@ def lookup(fact: DataFrame, ref: DimRef, how: Literal["left", "inner"] = "left")
     )
     if ref.broadcast_rows:
         narrow = broadcast_if_small(narrow, ref.broadcast_rows)
-    condition = None
+    salted = False
+    if ref.hot_rows is not None:
+        names = [left for left, _ in ref.on]
+        hot = hot_hashes(fact, names, min_rows=ref.hot_rows)
+        if hot:
+            fact, narrow = _spread(fact, narrow, names, keys, hot)
+            salted = True
+    condition = fact["_fact_salt"] == narrow["_dim_salt"] if salted else None
     for key, (left, _) in zip(keys, ref.on, strict=True):
         side = fact[left] if isinstance(left, str) else left
         equal = side.eqNullSafe(narrow[key]) if ref.null_safe else side == narrow[key]
         condition = equal if condition is None else condition & equal
-    return fact.join(narrow, condition, how).drop(*keys)
+    return fact.join(narrow, condition, how).drop(*keys, "_fact_salt", "_dim_salt")
 
 
 def star_join(fact: DataFrame, refs: Sequence[DimRef], strict: bool = False, check_unique: bool = False) -> DataFrame:

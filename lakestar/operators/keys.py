@@ -69,10 +69,12 @@ def sorted_table(df: DataFrame, order: Sequence[str]) -> DataFrame:
     spark = df.sparkSession
     path = scratch_path(spark, "sorted")
     cols = [F.col(f"`{name}`") for name in order]
-    df.orderBy(*cols).withColumn(_ROW, F.monotonically_increasing_id()).write.parquet(path)
+    numbered = df.orderBy(*cols).withColumn(_ROW, F.monotonically_increasing_id())
+    numbered.write.parquet(path)
     row = F.col(_ROW)
     return (
-        spark.read.parquet(path)
+        spark.read.schema(numbered.schema)
+        .parquet(path)
         .withColumn(PART, F.shiftright(row, _POS_BITS))
         .withColumn(POS, row.bitwiseAND((1 << _POS_BITS) - 1))
         .drop(_ROW)

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from lakestar.functions.casts import lenient_double
 from lakestar.functions.dates import date_key, hours_between, seconds_between
 from lakestar.operators.groups import first_by, first_value, next_value
-from lakestar.operators.joins import DimRef, lookup, star_join
+from lakestar.operators.joins import DimRef, broadcast_if_small, lookup, star_join
 from lakestar.operators.keys import dense_key, staged, unique_id
 from lakestar.operators.skew import HOT_ROWS, count_copies, expand_copies
 from lakestar.plans.dims import UNKNOWN_ROUTE
@@ -166,6 +166,7 @@ def fact_icu_monitoring(
     dim_date: DataFrame,
     heart_rate: Sequence[object] = HEART_RATE_ITEMS,
     spo2: Sequence[object] = SPO2_ITEMS,
+    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """One row per stay with its keys, hours, vital signs, fluid totals, counts and the mortality flag.
 
@@ -182,16 +183,18 @@ def fact_icu_monitoring(
     totals_out = outputevents.groupBy("stay_id").agg(F.sum(_number(outputevents, "value")).cast("double").alias("total_output_ml"))
     procedures = procedureevents.groupBy("stay_id").agg(F.count("*").alias("num_procedures"))
 
+    calendar = broadcast_if_small(dim_date)
+
     def date_ref(time: str, out: str) -> DimRef:
-        return DimRef(dim_date, [(F.col(time).cast("date"), "date")], {out: "date_sk"})
+        return DimRef(calendar, [(F.col(time).cast("date"), "date")], {out: "date_sk"})
 
     rows = star_join(
         stays,
         [
-            DimRef(dim_patient, [("subject_id", "subject_id")], {"subject_sk": "subject_sk"}),
+            DimRef(prescribed, [("hadm_id", "hadm_id")], {"num_medications": "_prescribed"}, hot_rows=hot_rows),
             DimRef(dim_service, [("hadm_id", "hadm_id")], {"service_sk": "service_sk"}),
             DimRef(ends, [("hadm_id", "hadm_id")], {c: c for c in ("dischtime", "hospital_expire_flag")}),
-            DimRef(prescribed, [("hadm_id", "hadm_id")], {"num_medications": "_prescribed"}),
+            DimRef(dim_patient, [("subject_id", "subject_id")], {"subject_sk": "subject_sk"}),
             date_ref("intime", "admit_date_sk"),
             date_ref("outtime", "discharge_date_sk"),
         ],
@@ -242,7 +245,7 @@ def fact_procedure(
 ) -> DataFrame:
     """One row per coded procedure whose code, patient, admission and date are all known."""
     refs = _coded_refs(dim_procedure, "procedure_sk", dim_patient, dim_admission)
-    refs.append(DimRef(dim_date, [(F.col("chartdate").cast("date"), "date")], {"date_sk": "date_sk"}))
+    refs.append(DimRef(broadcast_if_small(dim_date), [(F.col("chartdate").cast("date"), "date")], {"date_sk": "date_sk"}))
     rows = star_join(procedures, refs, strict=True)
     return rows.select(
         unique_id().alias("procedure_fact_sk"), "procedure_sk", "patient_sk", "admission_sk", "date_sk", "seq_num"

@@ -8,15 +8,16 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 
 from lakestar.plans import calendars, dims, facts
 from lakestar.plans.silver import SILVER_TABLES, TableSpec, keep_full_ids
+from lakestar.session import together
 from lakestar.sources.catalog import register_all
 from lakestar.sources.tables import (
     DEFAULT_FORMAT,
-    for_each_table,
     ingest,
     is_complete,
     read_available,
@@ -79,6 +80,10 @@ class Layers:
     def gold_table(self, star: str, table: str) -> DataFrame:
         return read_table(self.spark, self.gold_path(star, table), fmt=self.fmt)
 
+    def create_all(self, star: str, builders: Mapping[str, Callable[[], DataFrame]]) -> list[DataFrame]:
+        """Create tables that do not depend on each other, several at a time."""
+        return together(*[partial(self.create, star, table, build) for table, build in builders.items()])
+
     def create(self, star: str, table: str, build: Callable[[], DataFrame]) -> DataFrame:
         """Build and write a gold table unless it is complete, and read it back."""
         path = self.gold_path(star, table)
@@ -100,7 +105,7 @@ def silver(layers: Layers, specs: Mapping[str, TableSpec] = SILVER_TABLES) -> No
         raw = read_table(layers.spark, f"{layers.bronze}/{spec.folder}/{table}", fmt=layers.fmt)
         write_new(spec.build(raw), layers.silver_path(table), layers.fmt)
 
-    for_each_table(build, specs)
+    together(*[partial(build, table) for table in specs])
 
 
 def full_id_specs() -> dict[str, TableSpec]:
@@ -111,13 +116,14 @@ def full_id_specs() -> dict[str, TableSpec]:
 def admission_star(layers: Layers, codes: Sequence[str] = ("icd_code", "icd_version")) -> None:
     table, star = layers.silver_table, ADMISSION_STAR
     sources = {"admissions": ["admittime", "dischtime"], "transfers": ["intime", "outtime"], "services": ["transfertime"]}
-    layers.create(
-        star, "dim_date", lambda: calendars.observed_calendar((table(name), columns) for name, columns in sources.items())
-    )
-    patient = layers.create(star, "dim_patient", lambda: dims.numbered_patient_dim(table("patients")))
-    service = layers.create(star, "dim_service", lambda: dims.numbered_service_dim(table("services")))
-    diagnosis = layers.create(
-        star, "dim_diagnosis", lambda: dims.used_diagnosis_dim(table("diagnoses_icd"), table("d_icd_diagnoses"), codes)
+    _, patient, service, diagnosis = layers.create_all(
+        star,
+        {
+            "dim_date": lambda: calendars.observed_calendar((table(name), cols) for name, cols in sources.items()),
+            "dim_patient": lambda: dims.numbered_patient_dim(table("patients")),
+            "dim_service": lambda: dims.numbered_service_dim(table("services")),
+            "dim_diagnosis": lambda: dims.used_diagnosis_dim(table("diagnoses_icd"), table("d_icd_diagnoses"), codes),
+        },
     )
     layers.create(
         star,
@@ -138,9 +144,14 @@ def icu_star(layers: Layers) -> None:
         found = read_available(layers.spark, ICU_DATE_SOURCES, root=f"{layers.silver}/", fmt=layers.fmt)
         return calendars.week_calendar((df, df.columns) for df in found.used.values())
 
-    date = layers.create(star, "dim_date", calendar)
-    patient = layers.create(star, "dim_patient", lambda: dims.subject_dim(table("patients")))
-    service = layers.create(star, "dim_service", lambda: dims.first_service_dim(table("services")))
+    date, patient, service = layers.create_all(
+        star,
+        {
+            "dim_date": calendar,
+            "dim_patient": lambda: dims.subject_dim(table("patients")),
+            "dim_service": lambda: dims.first_service_dim(table("services")),
+        },
+    )
     events = ["chartevents", "inputevents", "outputevents", "procedureevents", "prescriptions"]
     layers.create(
         star,
@@ -153,20 +164,24 @@ def icu_star(layers: Layers) -> None:
 
 def coding_star(layers: Layers) -> None:
     table, star = layers.silver_table, CODING_STAR
-    diagnosis = layers.create(star, "dim_diagnosis", lambda: dims.diagnosis_dim(table("d_icd_diagnoses")))
-    procedure = layers.create(star, "dim_procedure", lambda: dims.procedure_dim(table("d_icd_procedures")))
-    patient = layers.create(star, "dim_diagproc_patient", lambda: dims.patient_dim(table("patients")))
-    admission = layers.create(star, "dim_diagproc_admission", lambda: dims.admission_dim(table("admissions")))
-    date = layers.create(
-        star, "dim_diagproc_date", lambda: calendars.weekend_calendar(table("procedures_icd"), "chartdate")
-    )
-    layers.create(
-        star, "fact_diagnosis", lambda: facts.fact_diagnosis(table("diagnoses_icd"), diagnosis, patient, admission)
+    diagnosis, procedure, patient, admission, date = layers.create_all(
+        star,
+        {
+            "dim_diagnosis": lambda: dims.diagnosis_dim(table("d_icd_diagnoses")),
+            "dim_procedure": lambda: dims.procedure_dim(table("d_icd_procedures")),
+            "dim_diagproc_patient": lambda: dims.patient_dim(table("patients")),
+            "dim_diagproc_admission": lambda: dims.admission_dim(table("admissions")),
+            "dim_diagproc_date": lambda: calendars.weekend_calendar(table("procedures_icd"), "chartdate"),
+        },
     )
-    layers.create(
+    layers.create_all(
         star,
-        "fact_procedure",
-        lambda: facts.fact_procedure(table("procedures_icd"), procedure, patient, admission, date),
+        {
+            "fact_diagnosis": lambda: facts.fact_diagnosis(table("diagnoses_icd"), diagnosis, patient, admission),
+            "fact_procedure": lambda: facts.fact_procedure(
+                table("procedures_icd"), procedure, patient, admission, date
+            ),
+        },
     )
 
 
@@ -178,10 +193,15 @@ def medication_star(layers: Layers, on: Sequence[str] = ("emar_id", "emar_seq"))
         bounds = layers.spark.range(1).selectExpr(f"date'{start}' AS start", f"date'{end}' AS end")
         return calendars.range_calendar(bounds, "start", "end")
 
-    date = layers.create(star, "dim_date", calendar)
-    patient = layers.create(star, "dim_patient", lambda: dims.subject_dim(table("patients")))
-    layers.create(star, "dim_service", lambda: dims.service_dim(table("services")))
-    medication = layers.create(star, "dim_medication", lambda: dims.medication_dim(table("emar_detail")))
+    date, patient, _, medication = layers.create_all(
+        star,
+        {
+            "dim_date": calendar,
+            "dim_patient": lambda: dims.subject_dim(table("patients")),
+            "dim_service": lambda: dims.service_dim(table("services")),
+            "dim_medication": lambda: dims.medication_dim(table("emar_detail")),
+        },
+    )
     layers.create(
         star,
         "fact_medication_administration",

@@ -4,9 +4,14 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
+from typing import TypeVar
 
 from pyspark.sql import SparkSession
 
+T = TypeVar("T")
+
 # Runtime SQL settings the operators count on. All can be set on a live session.
 SQL_CONF = {
     # Dates and epoch differences must not move with the zone of the machine.
@@ -41,6 +46,12 @@ def build_session(app: str = "lakestar", master: str | None = None, conf: dict[s
     return apply_sql_conf(builder.getOrCreate())
 
 
+def together(*jobs: Callable[[], T], parallel: int = 4) -> list[T]:
+    """Start independent Spark jobs a few at a time, so that small ones do not leave the cluster idle."""
+    with ThreadPoolExecutor(max_workers=parallel) as pool:
+        return [job.result() for job in [pool.submit(job) for job in jobs]]
+
+
 def scratch_root(spark: SparkSession) -> str:
     """Folder for intermediate tables, below the shared folder named in ``spark.checkpoint.dir``.
 

@@ -3,14 +3,16 @@
 from __future__ import annotations
 
 import logging
-from collections.abc import Callable, Iterable, Mapping, Sequence
-from concurrent.futures import ThreadPoolExecutor
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
+from functools import partial
 
 from py4j.protocol import Py4JError
 from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from lakestar.session import together
+
 log = logging.getLogger(__name__)
 
 DEFAULT_FORMAT = "parquet"
@@ -64,13 +66,6 @@ def write_replace(df: DataFrame, path: str, fmt: str = DEFAULT_FORMAT, partition
     _writer(df, fmt, partition_by).mode("overwrite").save(path)
 
 
-def for_each_table(work: Callable[[str], None], names: Iterable[str], parallel: int = 4) -> None:
-    """Run one Spark job per table, a few at a time so that small tables do not leave the cluster idle."""
-    with ThreadPoolExecutor(max_workers=parallel) as pool:
-        for _ in pool.map(work, names):
-            pass
-
-
 def ingest(
     spark: SparkSession,
     tables: Mapping[str, Sequence[str]],
@@ -84,7 +79,8 @@ def ingest(
     def copy(name: str) -> None:
         write_new(read_csv(spark, f"{raw_root}/{name}.csv"), f"{target_root}/{name}", fmt)
 
-    for_each_table(copy, [f"{folder}/{table}" for folder, names in tables.items() for table in names], parallel)
+    names = [f"{folder}/{table}" for folder, tables_in in tables.items() for table in tables_in]
+    together(*[partial(copy, name) for name in names], parallel=parallel)
 
 
 @dataclass

@@ -92,3 +92,13 @@ def test_a_hot_key_is_split_in_a_chain_of_lookups(spark, tmp_path):
     finally:
         for name, value in before.items():
             spark.conf.set(name, value)
+
+
+def test_hot_keys_are_spread_over_salts(spark):
+    key = F.when(F.col("id") % 3 == 0, 5).when(F.col("id") % 3 == 1, F.col("id") % 1000)
+    facts = spark.range(6000).select("id", key.alias("k"))
+    counts = spark.range(500).groupBy((F.col("id") % 250).cast("int").alias("k")).agg(F.count("*").alias("n"))
+    expected = rows(lookup(facts, DimRef(counts, [("k", "k")], {"n": "n"})))
+    spread = lookup(facts, DimRef(counts, [("k", "k")], {"n": "n"}, hot_rows=100))
+    assert "_fact_salt" in plan(spread) and rows(spread) == expected
+    assert "_fact_salt" not in plan(lookup(facts, DimRef(counts, [("k", "k")], {"n": "n"}, hot_rows=10_000)))

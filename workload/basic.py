@@ -10,7 +10,7 @@ from lakestar.functions.casts import prefix_int, recode, strict_date
 from lakestar.functions.dates import date_key, hours_between, is_weekend, weekday_name
 from lakestar.operators.conform import conform, fill_null, not_null
 from lakestar.operators.groups import dedupe, first_by, first_value, next_value
-from lakestar.operators.joins import DimRef, lookup, star_join
+from lakestar.operators.joins import DimRef, broadcast_if_small, lookup, star_join
 from lakestar.operators.keys import dense_key, stable_key
 from lakestar.operators.unions import explode_dates, observed_dates, union_all, union_distinct
 from lakestar.session import scratch_path
@@ -280,6 +280,7 @@ LEFT JOIN d a ON CAST(o_orderdate AS DATE) = a.date LEFT JOIN d b ON CAST(l_ship
 def role_playing_dates(t: Tables) -> DataFrame:
     """One calendar of order dates looked up for the order and for the ship date."""
     calendar = observed_dates([(t.orders, ["o_orderdate"])]).withColumn("date_sk", date_key(F.col("date")))
+    calendar = broadcast_if_small(calendar)
     orders = t.orders.select(F.col("o_orderkey").alias("l_orderkey"), "o_orderdate")
     lines = t.lineitem.select("l_orderkey", "l_linenumber", "l_partkey", "l_shipdate").join(orders, "l_orderkey", "left")
     rows = star_join(

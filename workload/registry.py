@@ -24,7 +24,10 @@ class Tables:
         return f"{self.root}/{name}.parquet"
 
     def __getattr__(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(self.path(name))
+        # Kept as an attribute, so that each table's schema is read once per query.
+        table = self.spark.read.parquet(self.path(name))
+        setattr(self, name, table)
+        return table
 
 
 def query(sql: str | None) -> Callable[[Callable[[Tables], DataFrame]], Callable[[Tables], DataFrame]]:

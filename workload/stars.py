@@ -1,19 +1,29 @@
 """Queries on the table builders: calendars, dimensions, facts, features and scores.
 
 Keys that are hashes cannot be repeated in SQL. Such dimensions are compared without theirs, and such facts after their
-keys have been looked up again in the dimensions, as a report on the star would do.
+keys have been looked up again in the dimensions, as a report on the star would do. As in a refresh, dimensions are
+written before the fact reads them: they are built once, and Spark knows their sizes.
 """
 
 from __future__ import annotations
 
+from functools import partial
+
 from pyspark.sql import DataFrame, functions as F
 
 from lakestar.operators.joins import DimRef, star_join
+from lakestar.operators.keys import staged
 from lakestar.plans import calendars, dims, facts, features, scoring
+from lakestar.session import together
 from workload import standins as s
 from workload.registry import Tables, query
 from workload.standins import with_tables
 
+def written(*frames: DataFrame) -> list[DataFrame]:
+    """Write dimensions to the scratch folder, several at a time, and read them back."""
+    return together(*[partial(staged, df) for df in frames])
+
+
 # Calendars
 
 _ALL_DATES = """
@@ -196,16 +206,13 @@ SELECT row_number() OVER (ORDER BY admission_id, service_sk NULLS FIRST, diagnos
 
 
 def admission_fact(t: Tables, codes: list[str]) -> DataFrame:
-    patients, services, coded = s.patients(t), s.services(t), s.coded(t)
-    return facts.fact_admissions(
-        s.admissions(t),
-        services,
-        coded,
-        dims.numbered_patient_dim(patients),
-        dims.numbered_service_dim(services),
-        dims.used_diagnosis_dim(coded, dims.diagnosis_dim(s.descriptions(t)), codes),
-        codes=codes,
+    services, coded = s.services(t), s.coded(t)
+    patient, service, diagnosis = together(
+        lambda: dims.numbered_patient_dim(s.patients(t)),
+        lambda: dims.numbered_service_dim(services),
+        lambda: dims.used_diagnosis_dim(coded, dims.diagnosis_dim(s.descriptions(t)), codes),
     )
+    return facts.fact_admissions(s.admissions(t), services, coded, patient, service, diagnosis, codes=codes)
 
 
 @query(
@@ -280,8 +287,11 @@ LEFT JOIN admissions a ON i.hadm_id = a.hadm_id LEFT JOIN vitals v ON i.stay_id
 """)
 def fact_icu(t: Tables) -> DataFrame:
     """Summary of every stay, its keys looked up again."""
-    patient, service = dims.subject_dim(s.patients(t)), dims.first_service_dim(s.services(t))
-    date = calendars.week_calendar([(s.icustays(t), ["intime", "outtime"])])
+    patient, service, date = written(
+        dims.subject_dim(s.patients(t)),
+        dims.first_service_dim(s.services(t)),
+        calendars.week_calendar([(s.icustays(t), ["intime", "outtime"])]),
+    )
     fact = facts.fact_icu_monitoring(
         s.icustays(t), s.admissions(t), s.chartevents(t), s.inputevents(t), s.outputevents(t), s.procedureevents(t),
         s.prescriptions(t), patient, service, date, heart_rate=["click", "view"], spo2=["purchase", "signup"],
@@ -319,17 +329,22 @@ def _named(fact: DataFrame, code: DataFrame, code_sk: str, patient: DataFrame, a
 @query(_CODED_SQL.format(extra=""))
 def fact_diagnosis(t: Tables) -> DataFrame:
     """Diagnoses whose code, patient and admission are known, named again through the keys."""
-    code, patient = dims.diagnosis_dim(s.descriptions(t)), dims.patient_dim(s.patients(t))
-    admission = dims.admission_dim(s.admissions(t))
+    code, patient, admission = written(
+        dims.diagnosis_dim(s.descriptions(t)), dims.patient_dim(s.patients(t)), dims.admission_dim(s.admissions(t))
+    )
     fact = facts.fact_diagnosis(s.coded(t), code, patient, admission)
     return _named(fact, code, "diagnosis_sk", patient, admission).drop("diagnosis_fact_sk")
 
 
 @query(_CODED_SQL.format(extra=", c.chartdate AS date"))
 def fact_procedure(t: Tables) -> DataFrame:
-    code, patient = dims.procedure_dim(s.descriptions(t)), dims.patient_dim(s.patients(t))
-    admission, coded = dims.admission_dim(s.admissions(t)), s.coded(t)
-    date = calendars.weekend_calendar(coded, "chartdate")
+    coded = s.coded(t)
+    code, patient, admission, date = written(
+        dims.procedure_dim(s.descriptions(t)),
+        dims.patient_dim(s.patients(t)),
+        dims.admission_dim(s.admissions(t)),
+        calendars.weekend_calendar(coded, "chartdate"),
+    )
     fact = facts.fact_procedure(coded, code, patient, admission, date)
     named = _named(fact, code, "procedure_sk", patient, admission)
     return star_join(named, [DimRef(date, [("date_sk", "date_sk")], {"date": "date"})]).drop("procedure_fact_sk", "date_sk")
@@ -339,10 +354,11 @@ def fact_procedure(t: Tables) -> DataFrame:
 
 
 def _medication(t: Tables, fill_route: bool) -> DataFrame:
-    detail, patient = s.emar_detail(t), dims.subject_dim(s.patients(t))
-    drug = dims.medication_dim(detail)
+    detail = s.emar_detail(t)
     bounds = t.orders.agg(F.min("o_orderdate").alias("start"), F.max("o_orderdate").alias("end"))
-    date = calendars.range_calendar(bounds, "start", "end")
+    patient, drug, date = written(
+        dims.subject_dim(s.patients(t)), dims.medication_dim(detail), calendars.range_calendar(bounds, "start", "end")
+    )
     fact = facts.fact_medication_administration(
         detail, s.emar(t), patient, drug, date, on=["emar_id"], fill_route=fill_route
     )
