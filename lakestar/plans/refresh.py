@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from lakestar.plans import calendars, dims, facts
 from lakestar.plans.silver import SILVER_TABLES, TableSpec, keep_full_ids
-from lakestar.session import together
+from lakestar.session import drop_scratch, together
 from lakestar.sources.catalog import register_all
 from lakestar.sources.tables import (
     DEFAULT_FORMAT,
@@ -240,3 +240,4 @@ def refresh(layers: Layers) -> None:
     coding_star(layers)
     medication_star(layers)
     catalog(layers)
+    drop_scratch(layers.spark)

@@ -46,6 +46,11 @@ def test_first_services(spark):
     assert rows(facts.first_services(df, ties="first")) == [(1, "MED", 1), (2, None, 1)]
 
 
+def test_first_services_cut_groups_before_the_shuffle(spark):
+    text = plan(facts.first_services(services(spark, SERVICES)))
+    assert text.count("WindowGroupLimit") == 2 and "Partial" in text
+
+
 def test_fact_admissions(spark):
     adm = admissions(spark, [
         (1, 1, "2020-01-01", "2020-01-05", 0), (2, 1, "2020-01-20", None, 1), (3, 9, "2020-01-01", "2020-01-02", 0),

@@ -147,8 +147,7 @@ def test_second_run_changes_nothing_but_the_transfers(layers):
 
 def test_whole_refresh_from_the_raw_files(spark, layers, tmp_path):
     fresh = refresh.Layers(spark, layers.raw, *[str(tmp_path / part) for part in ("bronze", "silver", "gold")])
-    refresh.bronze(fresh)
-    refresh.silver(fresh)
-    refresh.medication_star(fresh, on=["emar_id"])
+    refresh.refresh(fresh)
     med = fresh.gold_table(refresh.MEDICATION_STAR, "fact_medication_administration").first()
     assert med["emar_id"] == 10000001 and med["drug_sk"] is not None
+    assert fresh.gold_table(refresh.ADMISSION_STAR, "fact_admissions").count() == 2
