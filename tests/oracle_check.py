@@ -36,19 +36,13 @@ def _plain(table: pa.Table) -> pa.Table:
     return table
 
 
-def _rows(table: pa.Table) -> list[tuple]:
-    columns = [c.to_pylist() for c in table.columns]
-    return sorted(zip(*columns, strict=True), key=lambda row: tuple((v is not None, v) for v in row))
-
-
 def difference(spark, con, sf_dir: str, name: str) -> str | None:
     """None if the query and its SQL agree, else what differs."""
     found = _plain(entry.queries()[name](spark, sf_dir).toArrow())
     sql = entry.oracle_sql().get(name)
     if sql is None:
         return None if found.num_rows else "no rows"
-    result = con.execute(sql).to_arrow_table() if hasattr(con, "to_arrow_table") else con.execute(sql).fetch_arrow_table()
-    expected = _plain(result)
+    expected = _plain(con.sql(sql).to_arrow_table())
     if found.column_names != expected.column_names:
         return f"columns {found.column_names} / {expected.column_names}"
     types = [(f.name, str(f.type), str(e.type)) for f, e in zip(found.schema, expected.schema, strict=True) if f.type != e.type]
@@ -56,9 +50,12 @@ def difference(spark, con, sf_dir: str, name: str) -> str | None:
         return f"types {types}"
     if found.num_rows != expected.num_rows:
         return f"rows {found.num_rows} / {expected.num_rows}"
-    for left, right in zip(_rows(found), _rows(expected), strict=True):
-        if left != right:
-            return f"values {left} / {right}"
+    con.register("found_rows", found)
+    con.register("expected_rows", expected)
+    for sides in (("found_rows", "expected_rows"), ("expected_rows", "found_rows")):
+        extra = con.execute("SELECT * FROM {} EXCEPT ALL SELECT * FROM {} LIMIT 3".format(*sides)).fetchall()
+        if extra:
+            return f"values only in {sides[0]}: {extra}"
     return None
 
 

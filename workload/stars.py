@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, functions as F
 from lakestar.operators.joins import DimRef, star_join
 from lakestar.operators.keys import staged
 from lakestar.plans import calendars, dims, facts, features, scoring
+from lakestar.plans.silver import SILVER_TABLES
 from lakestar.session import together
 from workload import standins as s
 from workload.registry import Tables, query
@@ -24,6 +25,98 @@ def written(*frames: DataFrame) -> list[DataFrame]:
     return together(*[partial(staged, df) for df in frames])
 
 
+# Typed layer, with the rules of the real tables
+
+
+@query("""
+SELECT CAST(c_custkey AS INTEGER) AS subject_id, CASE WHEN c_nationkey < 10 THEN 'Male' WHEN c_nationkey < 20 THEN 'Female' END AS gender,
+  CASE WHEN c_nationkey % 2 = 0 THEN DATE '2100-01-01' + c_nationkey END AS dod,
+  CAST(trunc(c_acctbal) AS INTEGER) AS anchor_age, CAST(NULL AS INTEGER) AS anchor_year, c_mktsegment AS anchor_year_group
+FROM customer
+""")
+def silver_patients(t: Tables) -> DataFrame:
+    """Patients as text: codes M, F and others, death dates with and without a time, decimal ages, years that are words."""
+    nation = F.col("c_nationkey")
+    day = F.date_add(F.lit("2100-01-01").cast("date"), nation).cast("string")
+    raw = t.customer.select(
+        F.col("c_custkey").cast("string").alias("subject_id"),
+        F.when(nation < 10, "M").when(nation < 20, "F").otherwise("X").alias("gender"),
+        F.when(nation % 2 == 0, day).otherwise(F.concat(day, F.lit(" 10:00:00"))).alias("dod"),
+        F.col("c_acctbal").cast("decimal(12,2)").cast("string").alias("anchor_age"),
+        F.col("c_name").alias("anchor_year"),
+        F.col("c_mktsegment").alias("anchor_year_group"),
+    )
+    return SILVER_TABLES["patients"].build(raw)
+
+
+@query("""
+SELECT CAST(o_custkey AS INTEGER) AS subject_id, CAST(o_orderkey AS INTEGER) AS hadm_id,
+  CAST(CASE WHEN o_orderstatus = 'F' THEN 1 WHEN o_orderstatus = 'O' THEN 0 END AS INTEGER) AS hospital_expire_flag,
+  CAST(o_orderdate AS DATE) AS admittime, CAST(o_orderdate AS DATE) AS dischtime, CAST(NULL AS DATE) AS edregtime,
+  CAST(NULL AS DATE) AS edouttime, CASE WHEN o_orderstatus = 'F' THEN CAST(o_orderdate AS DATE) END AS deathtime,
+  o_orderpriority AS admission_type
+FROM orders
+""")
+def silver_admissions(t: Tables) -> DataFrame:
+    """Admissions as text: datetimes, plain dates, words and NULL in date columns."""
+    time = F.date_format("o_orderdate", "yyyy-MM-dd HH:mm:ss")
+    raw = t.orders.select(
+        F.col("o_custkey").cast("string").alias("subject_id"),
+        F.concat(F.lit(" "), F.col("o_orderkey").cast("string")).alias("hadm_id"),
+        F.when(F.col("o_orderstatus") == "F", "1").when(F.col("o_orderstatus") == "O", ".5").otherwise("?").alias("hospital_expire_flag"),
+        time.alias("admittime"),
+        F.date_format("o_orderdate", "yyyy-MM-dd").alias("dischtime"),
+        F.col("o_orderpriority").alias("edregtime"),
+        F.lit(None).cast("string").alias("edouttime"),
+        F.when(F.col("o_orderstatus") == "F", time).alias("deathtime"),
+        F.col("o_orderpriority").alias("admission_type"),
+    )
+    return SILVER_TABLES["admissions"].build(raw)
+
+
+@query("""
+SELECT CAST(user_id AS INTEGER) AS subject_id, CAST(NULL AS INTEGER) AS hadm_id, CAST(user_id AS INTEGER) AS stay_id,
+  CAST(NULL AS INTEGER) AS caregiver_id, CAST(event_id AS INTEGER) AS itemid, CAST(trunc(value) AS INTEGER) AS warning,
+  CAST(ts AS DATE) AS charttime, CAST(ts AS DATE) AS storetime, CASE WHEN event_type <> 'error' THEN value END AS valuenum,
+  event_type AS valueuom, props AS value
+FROM events
+""")
+def silver_chartevents(t: Tables) -> DataFrame:
+    """Chart values as text: numbers, words among the numbers, ids that are no numbers."""
+    number = F.col("value").cast("decimal(18,2)").cast("string")
+    raw = t.events.select(
+        F.col("user_id").cast("string").alias("subject_id"),
+        F.col("event_type").alias("hadm_id"),
+        F.concat(F.col("user_id").cast("string"), F.lit(".0")).alias("stay_id"),
+        F.concat(F.lit("9999999"), F.lpad(F.col("user_id").cast("string"), 8, "0")).alias("caregiver_id"),
+        F.col("event_id").cast("string").alias("itemid"),
+        number.alias("warning"),
+        F.col("ts").cast("string").alias("charttime"),
+        F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss").alias("storetime"),
+        F.when(F.col("event_type") == "error", "error").otherwise(number).alias("valuenum"),
+        F.col("event_type").alias("valueuom"),
+        F.col("props").alias("value"),
+    )
+    return SILVER_TABLES["chartevents"].build(raw)
+
+
+@query("""
+SELECT CAST(o_custkey AS INTEGER) AS subject_id, CAST(o_custkey AS INTEGER) AS emar_id, CAST(o_orderkey AS INTEGER) AS emar_seq,
+  CAST(NULL AS INTEGER) AS pharmacy_id
+FROM orders
+""")
+def silver_emar_detail(t: Tables) -> DataFrame:
+    """Administration details as text: the composite id is cut to its first eight characters."""
+    customer, order = F.col("o_custkey").cast("string"), F.col("o_orderkey").cast("string")
+    raw = t.orders.select(
+        customer.alias("subject_id"),
+        F.concat_ws("-", F.lpad(customer, 8, "0"), order).alias("emar_id"),
+        order.alias("emar_seq"),
+        F.lit("").alias("pharmacy_id"),
+    )
+    return SILVER_TABLES["emar_detail"].build(raw)
+
+
 # Calendars
 
 _ALL_DATES = """
@@ -440,7 +533,7 @@ def feature_table(t: Tables) -> DataFrame:
 )
 def feature_scaled(t: Tables) -> DataFrame:
     """Standard scores, to six decimals."""
-    rows = feature_rows(t)
+    rows = staged(feature_rows(t))
     scaled = scoring.scale(scoring.fit_scaler(rows, _FEATURES), rows, _FEATURES)
     return scaled.select("subject_id", *[F.round(c, 6).alias(c) for c in _FEATURES])
 
@@ -449,7 +542,8 @@ def feature_scaled(t: Tables) -> DataFrame:
 def ml_scores(t: Tables) -> DataFrame:
     """Cluster, position on two principal components and risk of death for every patient."""
     died = s.admissions(t).groupBy("subject_id").agg(F.max("hospital_expire_flag").cast("double").alias("died"))
-    rows = feature_rows(t).join(died, "subject_id", "left").fillna(0.0, ["died"])
+    # Written first, as fitting reads it many times.
+    rows = staged(feature_rows(t).join(died, "subject_id", "left").fillna(0.0, ["died"]))
     clusters = scoring.fit_clusters(rows, _FEATURES)
     risk = scoring.fit_risk(rows, _FEATURES, "died")
     scored = scoring.score_risk(risk, scoring.assign_clusters(clusters, rows))
