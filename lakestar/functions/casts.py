@@ -11,13 +11,10 @@ from pyspark.sql import Column, functions as F
 
 # Characters that may surround a number: white space and control codes.
 _PAD = r"[\x00-\x20\x7F]*"
-# Whole numbers of up to nine digits, which always fit.
-_SHORT = rf"^{_PAD}[+-]?\d{{1,9}}{_PAD}$"
-# The same with decimals behind the point, which are cut off, not rounded.
-_SHORT_WITH_DECIMALS = rf"^{_PAD}([+-]?\d{{1,9}})\.\d*{_PAD}$"
-# Longer ones: up to 18 digits behind leading zeros fit a long, which then shows whether they fit an int.
-_LONG = rf"^{_PAD}([+-]?)0*(\d{{1,18}})(\.\d*)?{_PAD}$"
-_INT_MIN, _INT_MAX = -(2**31), 2**31 - 1
+# Whole numbers that always fit an int, maybe with decimals behind the point, which are cut off, not rounded.
+_FITS_INT = rf"^{_PAD}[+-]?0*\d{{1,9}}(\.\d*)?{_PAD}$"
+# Ten digits, which may fit.
+_MAY_FIT_INT = rf"^{_PAD}[+-]?0*[12]\d{{9}}(\.\d*)?{_PAD}$"
 # No digit before the point: the whole part is zero.
 _ONLY_DECIMALS = rf"^{_PAD}[+-]?\.\d*{_PAD}$"
 _DECIMAL = rf"^{_PAD}[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?{_PAD}$"
@@ -28,11 +25,10 @@ _ISO_DATE = r"^\d{4}-\d{2}-\d{2}$"
 
 def lenient_int(c: Column) -> Column:
     """String to int: "3.7" gives 3, " 12 " gives 12, ".5" gives 0, anything else that is no int gives NULL."""
-    long = F.concat(F.regexp_extract(c, _LONG, 1), F.regexp_extract(c, _LONG, 2)).cast("long")
+    whole = F.substring_index(c, ".", 1)
     return (
-        F.when(c.rlike(_SHORT), c.cast("int"))
-        .when(c.rlike(_SHORT_WITH_DECIMALS), F.regexp_extract(c, _SHORT_WITH_DECIMALS, 1).cast("int"))
-        .when(c.rlike(_LONG), F.when(long.between(_INT_MIN, _INT_MAX), long.cast("int")))
+        F.when(c.rlike(_FITS_INT), whole.cast("int"))
+        .when(c.rlike(_MAY_FIT_INT), whole.try_cast("int"))
         .when(c.rlike(_ONLY_DECIMALS), F.lit(0))
     )
 
