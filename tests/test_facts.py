@@ -211,3 +211,48 @@ def test_fact_medication_administration(spark):
     assert found(fill_route=False, broadcast_rows=None)[1] == (2, 5, False, 20200101, "given")
     # Tied by id alone, each detail meets every administration with that id.
     assert len(found(on=["emar_id"])) == 6
+
+
+def test_hot_patients_and_hot_admissions_change_nothing(spark):
+    """A third of the admissions belong to one patient, a third of the services are copies for one admission."""
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        ids = spark.range(900)
+        patient = F.when(F.col("id") % 3 == 0, 1).otherwise(F.col("id") % 200)
+        adm = ids.select(
+            F.col("id").alias("hadm_id"), patient.alias("subject_id"),
+            F.date_add(F.lit("2020-01-01").cast("date"), (F.col("id") * 7 % 500).cast("int")).alias("admittime"),
+            F.date_add(F.lit("2020-01-01").cast("date"), (F.col("id") * 7 % 500 + F.col("id") % 9).cast("int")).alias("dischtime"),
+            F.lit("URGENT").alias("admission_type"), F.lit(0).alias("hospital_expire_flag"),
+        )
+        svc = ids.select(
+            F.when(F.col("id") % 3 == 0, 5).otherwise(F.col("id")).alias("hadm_id"),
+            F.when(F.col("id") % 3 == 0, F.lit("2019-01-01")).otherwise("2020-01-01").cast("date").alias("transfertime"),
+            F.when(F.col("id") % 3 == 0, "MED").otherwise("SURG").alias("curr_service"),
+        )
+        dx = ids.select(F.col("id").alias("hadm_id"), F.lit(1).alias("seq_num"), F.lit("A").alias("icd_code"), F.lit(9).alias("icd_version"))
+        texts = dx.select("icd_code", "icd_version", F.lit("t").alias("long_title")).distinct()
+        people = adm.select("subject_id").distinct().selectExpr(
+            "subject_id", "'Male' AS gender", "date'2100-01-01' AS dod", "1 AS anchor_age", "'g' AS anchor_year_group"
+        )
+        pdim, sdim, ddim = dims.numbered_patient_dim(people), dims.numbered_service_dim(svc), dims.used_diagnosis_dim(dx, texts)
+        plain = rows(facts.fact_admissions(adm, svc, dx, pdim, sdim, ddim))
+        hot = rows(facts.fact_admissions(adm, svc, dx, pdim, sdim, ddim, hot_rows=50))
+        assert hot == plain
+        assert len(plain) == 899 + 300 and [r[0] for r in plain] == list(range(1, 1200))
+        assert sum(r[1] == 5 for r in plain) == 300
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+
+
+def test_hot_admissions_of_stays_change_nothing(spark):
+    inputs = list(icu_inputs(spark))
+    inputs[0] = spark.range(300).selectExpr(
+        "cast(id AS int) AS stay_id", "1 AS subject_id", "cast(if(id % 3 = 0, 10, id) AS int) AS hadm_id",
+        "date'2020-01-01' AS intime", "date'2020-01-03' AS outtime",
+    )
+    measures = ["stay_id", "num_medications", "icu_mortality", "icu_los_hours", "avg_heart_rate"]
+    plain, hot = facts.fact_icu_monitoring(*inputs), facts.fact_icu_monitoring(*inputs, hot_rows=20)
+    assert "_fact_salt" in plan(hot) and "_fact_salt" not in plan(plain)
+    assert rows(hot, *measures) == rows(plain, *measures)
+    assert sum(r[1] == 3 for r in rows(plain, *measures)) == 101
