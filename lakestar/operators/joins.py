@@ -7,6 +7,7 @@ from dataclasses import dataclass
 from typing import Literal
 
 from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql.types import ArrayType, BinaryType, MapType, StringType, StructType, VariantType
 
 from lakestar.operators.keys import require_unique, total_order
 from lakestar.operators.skew import hash_of, hot_hashes
@@ -15,9 +16,26 @@ from lakestar.operators.skew import hash_of, hot_hashes
 SALTS = 64
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int = 1_000_000) -> DataFrame:
-    """Hint a broadcast only if a count shows that the frame has at most ``max_rows`` rows; else the join shuffles."""
-    return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
+# The most a hinted broadcast may hold, by the count that goes before it.
+BROADCAST_ROWS = 1_000_000
+BROADCAST_BYTES = 64 * 1024 * 1024
+
+
+def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES) -> DataFrame:
+    """Hint a broadcast only if a count of rows and bytes shows the frame to be small; else leave the join to Spark.
+
+    The count is an aggregate over all tasks. A frame with nested columns, whose size it does not see, gets no hint.
+    """
+    width = F.lit(0).cast("long")
+    for field in df.schema.fields:
+        if isinstance(field.dataType, (StringType, BinaryType)):
+            width = width + F.coalesce(F.octet_length(F.col(f"`{field.name}`")), F.lit(0))
+        elif isinstance(field.dataType, (ArrayType, MapType, StructType, VariantType)):
+            return df
+        else:
+            width = width + 8
+    size = df.agg(F.count("*").alias("rows"), F.sum(width).alias("bytes")).first()
+    return F.broadcast(df) if size["rows"] <= max_rows and (size["bytes"] or 0) <= max_bytes else df
 
 
 @dataclass(frozen=True)
@@ -26,7 +44,7 @@ class DimRef:
 
     ``on`` pairs a fact column, or an expression of fact columns, with a dimension column; ``take`` names the columns
     to add, output name to dimension column. NULL matches NULL only if ``null_safe``. ``broadcast_rows`` asks for a
-    broadcast when the dimension has at most so many rows; without it Spark decides by size.
+    broadcast when the dimension has at most so many rows, and bytes within bounds; without it Spark decides by size.
 
     Spark splits a hot fact key by itself where both sides are shuffled for the join. Where the dimension comes straight
     out of a grouping on the same key it cannot: ``hot_rows`` then spreads the fact keys with more rows than that.

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from lakestar.functions.casts import lenient_double
 from lakestar.functions.dates import date_key, hours_between, seconds_between
 from lakestar.operators.groups import first_by, first_value, next_value
-from lakestar.operators.joins import DimRef, broadcast_if_small, lookup, star_join
+from lakestar.operators.joins import BROADCAST_ROWS, DimRef, broadcast_if_small, lookup, star_join
 from lakestar.operators.keys import dense_key, staged, unique_id
 from lakestar.operators.skew import HOT_ROWS, count_copies, expand_copies
 from lakestar.plans.dims import UNKNOWN_ROUTE
@@ -263,7 +263,7 @@ def fact_medication_administration(
     dim_date: DataFrame,
     on: Sequence[str] = ("emar_id", "emar_seq"),
     fill_route: bool = True,
-    broadcast_rows: int | None = 1_000_000,
+    broadcast_rows: int | None = BROADCAST_ROWS,
 ) -> DataFrame:
     """One row per detail of an administration, with patient, drug and date where known.
 

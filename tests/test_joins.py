@@ -66,6 +66,18 @@ def test_broadcast_only_after_a_count(spark, dim):
     assert rows(broadcast_if_small(dim, 1)) == rows(dim)
 
 
+def test_broadcast_counts_bytes_too(spark, dim):
+    hinted = "ResolvedHint"
+
+    def logical(df):
+        return df._jdf.queryExecution().analyzed().toString()
+
+    assert hinted in logical(broadcast_if_small(dim))
+    assert hinted not in logical(broadcast_if_small(dim, max_bytes=10))
+    assert hinted not in logical(broadcast_if_small(dim.withColumn("nested", F.array("name"))))
+    assert hinted in logical(broadcast_if_small(dim.limit(0)))
+
+
 def test_a_hot_key_is_split_in_a_chain_of_lookups(spark, tmp_path):
     """Two dimensions on one key: the second needs the partitioning that splitting the first takes away."""
     settings = {

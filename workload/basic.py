@@ -10,7 +10,7 @@ from lakestar.functions.casts import prefix_int, recode, strict_date
 from lakestar.functions.dates import date_key, hours_between, is_weekend, weekday_name
 from lakestar.operators.conform import conform, fill_null, not_null
 from lakestar.operators.groups import dedupe, first_by, first_value, next_value
-from lakestar.operators.joins import DimRef, broadcast_if_small, lookup, star_join
+from lakestar.operators.joins import BROADCAST_ROWS, DimRef, broadcast_if_small, lookup, star_join
 from lakestar.operators.keys import dense_key, stable_key
 from lakestar.operators.unions import explode_dates, observed_dates, union_all, union_distinct
 from lakestar.session import scratch_path
@@ -262,8 +262,8 @@ def join_three_key_broadcast(t: Tables) -> DataFrame:
     used = t.lineitem.select("l_orderkey", "l_linenumber", "l_partkey").join(parts, "l_partkey")
     on = [("p_name", "p_name"), ("brand", "brand"), ("p_type", "p_type")]
     refs = [
-        DimRef(drugs, on, {"drug": "drug"}, broadcast_rows=1_000_000),
-        DimRef(drugs, on, {"null_safe_drug": "drug"}, null_safe=True, broadcast_rows=1_000_000),
+        DimRef(drugs, on, {"drug": "drug"}, broadcast_rows=BROADCAST_ROWS),
+        DimRef(drugs, on, {"null_safe_drug": "drug"}, null_safe=True, broadcast_rows=BROADCAST_ROWS),
     ]
     return star_join(used, refs).select("l_orderkey", "l_linenumber", "l_partkey", "drug", "null_safe_drug")
 
