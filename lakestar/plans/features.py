@@ -66,4 +66,5 @@ def feature_table(
     ]
     for part in parts:
         rows = rows.join(part, "subject_id", "left")
-    return rows.select("subject_id", *BASE_FEATURES, *[f"`{item}`" for item in items]).fillna(0.0)
+    names = [*BASE_FEATURES, *[str(item) for item in items]]
+    return rows.select("subject_id", *[f"`{name}`" for name in names]).fillna(0.0, names)

@@ -9,7 +9,7 @@ from tests.helpers import rows
 
 @pytest.fixture(scope="module")
 def table(spark):
-    patients = spark.createDataFrame([(1, "Male", 40), (2, "Female", 50), (3, None, None)], "subject_id int, gender string, anchor_age int")
+    patients = spark.createDataFrame([(1, "Male", 40), (2, "Female", 50), (3, None, None), (None, "Male", 60)], "subject_id int, gender string, anchor_age int")
     stays = spark.createDataFrame([(1, "2020-01-01", "2020-01-03"), (1, "2020-02-01", "2020-02-02")], "subject_id int, a string, b string")
     stays = stays.select("subject_id", F.col("a").cast("date").alias("intime"), F.col("b").cast("date").alias("outtime"))
     many = spark.createDataFrame([(1,), (1,), (2,)], "subject_id int")
@@ -26,6 +26,7 @@ def test_feature_order_is_fixed(table):
 
 def test_feature_values(table):
     assert rows(table, "subject_id", "anchor_age", "gender", "icu_los", "num_drugs", "50912", "50809", "220045") == [
+        (None, 60.0, 1.0, 0.0, 0.0, 0.0, 0.0, 0.0),
         (1, 40.0, 1.0, 3.0, 2.0, 1.5, 0.0, 80.0), (2, 50.0, 0.0, 0.0, 1.0, 0.0, 0.0, 0.0),
         (3, 0.0, 0.0, 0.0, 0.0, 0.0, 0.0, 0.0),
     ]
