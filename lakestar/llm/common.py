@@ -15,7 +15,8 @@ MIX_2 = np.uint64(0x94D049BB133111EB)
 # One random 64-bit value per byte, so that byte strings of small numbers don't cancel out.
 BYTE_VALUES = np.random.default_rng(20240607).integers(1, 2**63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
-_powers = np.ones(1, dtype=np.uint64)
+# Powers of BASE and of its inverse, kept between calls.
+_powers = _inverse = np.ones(1, dtype=np.uint64)
 
 
 def staged(df: DataFrame, label: str) -> DataFrame:
@@ -36,14 +37,16 @@ def held_out(modulus: int, remainder: int) -> Column:
     return F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % modulus == remainder, F.lit(False))
 
 
-def powers(n: int) -> np.ndarray:
-    """BASE ** 0 .. BASE ** n, kept between calls."""
-    global _powers
+def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """BASE ** 0 .. BASE ** n and the same of its inverse."""
+    global _powers, _inverse
     if len(_powers) <= n:
         more = np.full(max(n + 1, 2 * len(_powers), 1 << 16), BASE, dtype=np.uint64)
         more[0] = 1
         _powers = np.multiply.accumulate(more)
-    return _powers
+        more[1:] = pow(int(BASE), -1, 1 << 64)
+        _inverse = np.multiply.accumulate(more)
+    return _powers, _inverse
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -56,14 +59,13 @@ def mix(x: np.ndarray) -> np.ndarray:
 def prefix_hash(data: np.ndarray) -> np.ndarray:
     """Hash of data[:i] for every i, as polynomial sums with rising powers (uint64 arithmetic wraps)."""
     out = np.zeros(len(data) + 1, dtype=np.uint64)
-    np.cumsum(BYTE_VALUES[data] * powers(len(data))[: len(data)], out=out[1:])
+    np.cumsum(BYTE_VALUES[data] * powers(len(data))[0][: len(data)], out=out[1:])
     return out
 
 
 def range_hash(prefix: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-    """Hash of data[start:end] whatever the place: the sum is scaled to one common power."""
-    top = len(prefix) - 1
-    return mix((prefix[end] - prefix[start]) * powers(top)[top - start] + (end - start).astype(np.uint64))
+    """Hash of data[start:end] whatever the place: the sum is scaled back to power 0."""
+    return mix((prefix[end] - prefix[start]) * powers(len(prefix))[1][start] + (end - start).astype(np.uint64))
 
 
 # The bytes that end a word (blank and 0x09-0x0D), and A-Z to a-z.
