@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from lakestar.llm import near_dedup, packing, token_files
+from lakestar.llm import near_dedup, packing, repeats, token_files
 from lakestar.session import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -42,3 +42,8 @@ def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register
 def op6_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_duplicates(table(spark, sf_dir, "documents"), words=4)
+
+
+@register
+def op9_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.remove_repeats(table(spark, sf_dir, "documents"))
