@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from lakestar.llm import near_dedup, packing, quality, repeats, token_files, url_filter
+from lakestar.llm import near_dedup, packing, quality, repeats, token_files, toxicity, url_filter
 from lakestar.llm.common import held_out
 from lakestar.session import scratch_path
 
@@ -91,3 +91,11 @@ def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     learn = labels.where(~held_out(5, 0)).select("doc_id", F.col("quality").alias("label"))
     scored = quality.score_quality(documents, learn)
     return scored.select("doc_id", held_out(5, 0).alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
+
+
+@register
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    learn = labels.where(~held_out(3, 1)).select("doc_id", F.col("toxic").alias("label"))
+    scored = toxicity.score_toxicity(documents, learn)
+    return scored.select("doc_id", held_out(3, 1).alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
