@@ -7,10 +7,10 @@
    Viterbi's algorithm picks the reading that language model and channel together find likeliest. All other characters
    have one reading, so the rest of the text is its own decoding.
 3. The restored text is scored by its words and their beginnings: each has the smoothed share of toxic documents among
-   the labelled ones that hold it, and a document has the largest share of any.
+   the labelled ones that hold it; the largest share of any is turned into a probability by the labelled documents.
 
-Defined results: NULL and empty texts score the share of nothing at all, 0; without labels every score is 0; of several labels
-of a document the largest counts; repeated rows are scored alike; an empty table gives no rows; other columns are never inputs.
+Defined results: NULL and empty texts score like a text without telling words; without labels of both kinds every score is
+about 0; of several labels of a document the largest counts; repeated rows are scored alike; an empty table gives no rows; other columns are never inputs.
 """
 
 from __future__ import annotations
@@ -21,7 +21,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from lakestar.llm.common import staged, text_or_empty
 
@@ -148,27 +148,39 @@ def features(word: str) -> list[str]:
     return [word, *(f"{word[:k]}-" for k in BEGINNINGS if len(word) > k)]
 
 
-def feature_shares(documents: DataFrame, labels: DataFrame, model: np.ndarray) -> dict[str, float]:
-    """Share of toxic documents for each telling feature, learned from a bounded sample of the labelled rows."""
+def _sample(documents: DataFrame, labels: DataFrame, model: np.ndarray) -> DataFrame:
+    """(text, label): restored texts of a bounded sample of the labelled rows."""
     labels = labels.where("doc_id is not null and label is not null").groupBy("doc_id").agg(F.max("label").alias("label"))
     labels = staged(labels.orderBy(F.xxhash64("doc_id"), "doc_id").limit(FIT_ROWS), "labels")
-    common = labels.agg(F.avg("label").alias("p")).first()["p"]
+
+    def restore(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        decode = Decoder(model)
+        for batch in batches:
+            texts = [decode.restore(x) for x in batch.column(0).to_pylist()]
+            yield pa.RecordBatch.from_arrays([pa.array(texts, pa.string()), batch.column(1)], ["text", "label"])
+
+    chosen = text_or_empty(documents).join(F.broadcast(labels), "doc_id").select("text", F.col("label").cast("int").alias("label"))
+    return staged(chosen.mapInArrow(restore, "text string, label int"), "sample")
+
+
+def feature_shares(sample: DataFrame) -> dict[str, float]:
+    """Share of toxic documents for each telling feature."""
+    common = sample.agg(F.avg("label").alias("p")).first()["p"]
     if not common:
         return {}
 
     def count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        decode = Decoder(model)
         total: dict[str, list[int]] = {}
         for batch in batches:
             for text, label in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                for f in {f for w in set(_WORD.findall(decode.restore(text).lower())) for f in features(w)}:
+                for f in {f for w in set(_WORD.findall(text.lower())) for f in features(w)}:
                     total.setdefault(f, [0, 0])[label > 0] += 1
             if len(total) > 500_000:
                 yield _counted(total)
                 total = {}
         yield _counted(total)
 
-    seen = text_or_empty(documents).join(F.broadcast(labels), "doc_id").select("text", "label").mapInArrow(count, "feature string, clean long, toxic long")
+    seen = sample.mapInArrow(count, "feature string, clean long, toxic long")
     kept = seen.groupBy("feature").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic")).where(F.col("toxic") >= LEAST_DOCUMENTS)
     share = (F.col("toxic") + SMOOTHING * common) / (F.col("toxic") + F.col("clean") + SMOOTHING)
     # The sample bounds this table; the shares leave a small part of it.
@@ -176,6 +188,64 @@ def feature_shares(documents: DataFrame, labels: DataFrame, model: np.ndarray) -
     return dict(zip(found["feature"], found["share"], strict=True))
 
 
+class Scorer:
+    """Largest share of any word of a text, and what probability that has turned out to mean."""
+
+    def __init__(self, shares: dict[str, float], slope: float = 1.0, shift: float = 0.0) -> None:
+        self._shares, self._slope, self._shift, self._known = shares, slope, shift, {}
+
+    def largest(self, text: str) -> float:
+        best, known = 0.0, self._known
+        for word in set(_WORD.findall(text.lower())):
+            p = known.get(word)
+            if p is None:
+                p = max((self._shares.get(f, 0.0) for f in features(word)), default=0.0)
+                if len(known) > 500_000:
+                    known.clear()
+                known[word] = p
+            if p > best:
+                best = p
+        return best
+
+    def score(self, text: str) -> float:
+        return float(_probability(_log_odds(np.array([self.largest(text)])), self._slope, self._shift)[0])
+
+
+def _log_odds(share: np.ndarray) -> np.ndarray:
+    share = np.clip(share, 0.05, 0.9999)
+    return np.log(share / (1 - share))
+
+
+def _probability(x: np.ndarray, slope: float, shift: float) -> np.ndarray:
+    return 1 / (1 + np.exp(-np.clip(slope * x + shift, -30, 30)))
+
+
+def calibrate(sample: DataFrame, shares: dict[str, float]) -> tuple[float, float]:
+    """Slope and shift of the log-odds at which the sample's documents are toxic, given their largest share: the
+    largest of hundreds of words is often high by chance."""
+
+    def largest(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        scorer = Scorer(shares)
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([scorer.largest(x) for x in batch.column(0).to_pylist()], pa.float64()), batch.column(1)], ["share", "label"])
+
+    rows = sample.mapInArrow(largest, "share double, label int").toPandas()
+    x, y = _log_odds(rows["share"].to_numpy()), (rows["label"].to_numpy() > 0).astype(float)
+    if not len(y) or y.min() == y.max():
+        return 1.0, -30.0
+    weights = np.array([1.0, 0.0])
+    inputs = np.stack([x, np.ones_like(x)], axis=1)
+    for _ in range(50):  # Newton's method with a weak pull to zero, so that clean separation stays finite
+        p = _probability(x, *weights)
+        gradient = inputs.T @ (y - p) - 1e-2 * weights
+        curve = (inputs * (p * (1 - p))[:, None]).T @ inputs + 1e-2 * np.eye(2)
+        step = np.clip(np.linalg.solve(curve, gradient), -2, 2)
+        weights += step
+        if np.abs(step).max() < 1e-6:
+            break
+    return max(float(weights[0]), 0.0), float(weights[1])
+
+
 def _counted(total: dict[str, list[int]]) -> pa.RecordBatch:
     columns = [pa.array(list(total), pa.string()), *(pa.array([x[k] for x in total.values()], pa.int64()) for k in (0, 1))]
     return pa.RecordBatch.from_arrays(columns, ["feature", "clean", "toxic"])
@@ -185,31 +255,18 @@ def score_toxicity(documents: DataFrame, labels: DataFrame, with_text: bool = Fa
     """(doc_id, score, and the restored text if asked for) of every row of ``documents``; ``labels`` (doc_id, label) are
     the rows to learn from."""
     model = language_model(documents)
-    shares = feature_shares(documents, labels, model)
-    spark: SparkSession = documents.sparkSession
-    known = spark.sparkContext.broadcast((model, shares))
+    sample = _sample(documents, labels, model)
+    shares = feature_shares(sample)
+    # Both are bounded: the model by its symbols, the shares by the sample.
+    known = documents.sparkSession.sparkContext.broadcast((model, shares, *calibrate(sample, shares)))
     out = "doc_id long, score double" + ", restored string" * with_text
 
     def score(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model, shares = known.value
-        decode, by_word = Decoder(model), {}
+        model, *rest = known.value
+        decode, scorer = Decoder(model), Scorer(*rest)
         for batch in batches:
-            scores, texts = [], []
-            for value in batch.column(1):
-                text = decode.restore(value.as_py())
-                best = 0.0
-                for word in set(_WORD.findall(text.lower())):
-                    p = by_word.get(word)
-                    if p is None:
-                        p = max((shares.get(f, 0.0) for f in features(word)), default=0.0)
-                        if len(by_word) > 500_000:
-                            by_word.clear()
-                        by_word[word] = p
-                    if p > best:
-                        best = p
-                scores.append(best)
-                texts.append(text)
-            columns = [batch.column(0), pa.array(scores, pa.float64()), *[pa.array(texts, pa.string())] * with_text]
-            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "score", *["restored"] * with_text])
+            texts = [decode.restore(x.as_py()) for x in batch.column(1)]
+            scores = pa.array([scorer.score(x) for x in texts], pa.float64())
+            yield pa.RecordBatch.from_arrays([batch.column(0), scores, *[pa.array(texts, pa.string())] * with_text], ["doc_id", "score", *["restored"] * with_text])
 
     return text_or_empty(documents).mapInArrow(score, out)
