@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from lakestar.llm import near_dedup, packing, quality, repeats, token_files, toxicity, url_filter
+from lakestar.llm import near_dedup, packing, pii, quality, repeats, token_files, toxicity, url_filter
 from lakestar.llm.common import held_out
 from lakestar.session import scratch_path
 
@@ -99,3 +99,9 @@ def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     learn = labels.where(~held_out(3, 1)).select("doc_id", F.col("toxic").alias("label"))
     scored = toxicity.score_toxicity(documents, learn)
     return scored.select("doc_id", held_out(3, 1).alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
+
+
+@register
+def op7_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.find_personal_data(table(spark, sf_dir, "documents"))
+    return found.withColumn("base_sha256", F.sha2("base", 256)).drop("base")
