@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from lakestar.llm import near_dedup, packing, pii, quality, repeats, token_files, toxicity, url_filter
+from lakestar.llm import near_dedup, neighbours, packing, pii, quality, repeats, token_files, toxicity, url_filter
 from lakestar.llm.common import held_out
 from lakestar.session import scratch_path
 
@@ -105,3 +105,8 @@ def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = pii.find_personal_data(table(spark, sf_dir, "documents"))
     return found.withColumn("base_sha256", F.sha2("base", 256)).drop("base")
+
+
+@register
+def op10_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours.search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
