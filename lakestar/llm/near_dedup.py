@@ -232,3 +232,11 @@ def near_duplicates(documents: DataFrame, words: int = 5, percent: int = 80) ->
         F.coalesce("component_id", "doc_id").alias("component_id"),
         F.coalesce(F.coalesce("component_id", "doc_id") == F.col("doc_id"), F.lit(True)).alias("kept"),
     )
+
+
+def keep_one(documents: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
+    """One row of ``documents`` for each group, that with the least doc_id, with all columns; of rows that repeat a doc_id and
+    text one stays. Documents without words are kept as they are."""
+    gone = near_duplicates(documents, words, percent).where("not kept").select(F.col("doc_id").alias("_gone")).distinct()
+    left = documents.join(staged(gone, "gone"), F.col("doc_id").cast("long") == F.col("_gone"), "left_anti")
+    return left.dropDuplicates(["doc_id", "text"])

@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from lakestar.llm import near_dedup, neighbours, packing, pii, quality, repeats, token_files, toxicity, url_filter
+from lakestar.llm import decontaminate, near_dedup, neighbours, packing, pii, quality, repeats, token_files, toxicity, url_filter
 from lakestar.llm.common import held_out
 from lakestar.session import scratch_path
 
@@ -110,3 +110,8 @@ def op7_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register
 def op10_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neighbours.search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
+@register
+def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))

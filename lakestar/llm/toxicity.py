@@ -251,14 +251,18 @@ def _counted(total: dict[str, list[int]]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(columns, ["feature", "clean", "toxic"])
 
 
-def score_toxicity(documents: DataFrame, labels: DataFrame, with_text: bool = False) -> DataFrame:
-    """(doc_id, score, and the restored text if asked for) of every row of ``documents``; ``labels`` (doc_id, label) are
-    the rows to learn from."""
+def _learned(documents: DataFrame, labels: DataFrame):  # noqa: ANN202
+    """Broadcast of the decoder's model and the scorer. Both are bounded: the model by its symbols, the shares by the sample."""
     model = language_model(documents)
     sample = _sample(documents, labels, model)
     shares = feature_shares(sample)
-    # Both are bounded: the model by its symbols, the shares by the sample.
-    known = documents.sparkSession.sparkContext.broadcast((model, shares, *calibrate(sample, shares)))
+    return documents.sparkSession.sparkContext.broadcast((model, shares, *calibrate(sample, shares)))
+
+
+def score_toxicity(documents: DataFrame, labels: DataFrame, with_text: bool = False) -> DataFrame:
+    """(doc_id, score, and the restored text if asked for) of every row of ``documents``; ``labels`` (doc_id, label) are
+    the rows to learn from."""
+    known = _learned(documents, labels)
     out = "doc_id long, score double" + ", restored string" * with_text
 
     def score(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -270,3 +274,16 @@ def score_toxicity(documents: DataFrame, labels: DataFrame, with_text: bool = Fa
             yield pa.RecordBatch.from_arrays([batch.column(0), scores, *[pa.array(texts, pa.string())] * with_text], ["doc_id", "score", *["restored"] * with_text])
 
     return text_or_empty(documents).mapInArrow(score, out)
+
+
+def keep_below(documents: DataFrame, labels: DataFrame, bound: float) -> DataFrame:
+    """The rows of ``documents`` that score below ``bound``, with all their columns; nothing is shuffled."""
+    known, text = _learned(documents, labels), documents.columns.index("text")
+
+    def keep(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model, *rest = known.value
+        decode, scorer = Decoder(model), Scorer(*rest)
+        for batch in batches:
+            yield batch.filter(pa.array([scorer.score(decode.restore(x.as_py() or "")) < bound for x in batch.column(text)], pa.bool_()))
+
+    return documents.mapInArrow(keep, documents.schema)
