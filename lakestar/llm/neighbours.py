@@ -133,9 +133,16 @@ def _stack(column: pd.Series) -> np.ndarray:
     return np.stack(column.to_numpy()) if len(column) else np.zeros((0, 0))
 
 
+def _least(rows: DataFrame, n: int) -> DataFrame:
+    """The ``n`` rows with the least hashes of their ids. The hashes alone are sorted, vectors are fetched for those."""
+    rank = F.xxhash64("vec_id")
+    last = rows.select(rank.alias("rank")).orderBy("rank").limit(n).agg(F.max("rank").alias("last")).first()["last"]
+    return rows.where(rank <= (0 if last is None else last)).limit(n)
+
+
 def calibrate(tree: Tree, indexed: DataFrame, queries: DataFrame, k: int) -> int:
     """Leaves to visit so that ``WANTED_RECALL`` of the exact neighbours of a sample of the queries are in them."""
-    sample = queries.orderBy(F.xxhash64("vec_id"), "vec_id").limit(CALIBRATION_QUERIES).toPandas()
+    sample = _least(queries, CALIBRATION_QUERIES).select("vec_id", "vector").toPandas()
     if not len(sample):
         return 1
     own, x = sample["vec_id"].to_numpy(), _stack(sample["vector"])
@@ -164,7 +171,7 @@ def search(vectors: DataFrame, is_query: Column, k: int = 20) -> DataFrame:
     ``is_query`` holds, among all other rows, by inner product."""
     spark = vectors.sparkSession
     rows = staged(usable(vectors), "vectors")
-    sample = rows.orderBy(F.xxhash64("vec_id"), "vec_id").limit(FIT_ROWS).select("vector").toPandas()
+    sample = _least(rows, FIT_ROWS).select("vector").toPandas()
     if not len(sample):
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
     tree = fit_tree(_stack(sample["vector"]))

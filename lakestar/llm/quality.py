@@ -151,7 +151,8 @@ def score_quality(documents: DataFrame, labels: DataFrame) -> DataFrame:
     """(doc_id, score) of every row of ``documents``; ``labels`` (doc_id, label) are the rows to learn from."""
     known = staged(document_statistics(documents), "statistics")
     labels = labels.where("doc_id is not null and label is not null").groupBy("doc_id").agg(F.max("label").alias("label"))
-    sample = known.join(labels, "doc_id").orderBy(F.xxhash64("doc_id"), "doc_id").limit(FIT_ROWS).select("statistics", "label").toPandas()
+    chosen = staged(labels.orderBy(F.xxhash64("doc_id"), "doc_id").limit(FIT_ROWS), "labels")
+    sample = known.join(F.broadcast(chosen), "doc_id").select("statistics", "label").limit(FIT_ROWS).toPandas()
     forest = fit(_matrix(sample["statistics"]) if len(sample) else np.zeros((0, N_STATISTICS)), sample["label"].to_numpy(dtype=float))
 
     def score(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:

@@ -51,8 +51,11 @@ def _width(path: str) -> int:
 
 def train_dictionary(documents: DataFrame, tokenizer: str) -> bytes:
     """Dictionary for id arrays, trained on a bounded sample; empty if there is too little to train on."""
-    docs = text_or_empty(documents).where(F.length("text").between(1, SAMPLE_CHARS))
-    sample = docs.orderBy(F.xxhash64("doc_id", "text")).limit(SAMPLE_DOCS).select("text").collect()
+    docs = text_or_empty(documents)
+    rank = F.xxhash64("doc_id")
+    # The ranks alone are sorted; texts are fetched for the least of them.
+    least = [r["rank"] for r in docs.select(rank.alias("rank")).orderBy("rank").limit(SAMPLE_DOCS).collect()]
+    sample = docs.where((rank <= max(least, default=0)) & F.length("text").between(1, SAMPLE_CHARS)).limit(SAMPLE_DOCS).select("text").collect()
     kind = f"<u{_width(tokenizer)}"
     frames = [encoder(tokenizer).document(x.text).astype(kind).tobytes() for x in sample]
     try:
