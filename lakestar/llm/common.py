@@ -21,10 +21,22 @@ _powers = _inverse = np.ones(1, dtype=np.uint64)
 
 def staged(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` to the shared scratch folder and read it again: later steps neither recompute it nor depend on
-    the executors that made it."""
-    path = scratch_path(df.sparkSession, label)
+    the executors that made it. The shuffle files behind it are of no use any more and are freed."""
+    spark, path = df.sparkSession, scratch_path(df.sparkSession, label)
     df.write.option("compression", "zstd").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    # Spark drops shuffle files once the driver's JVM has collected the plan that made them.
+    spark.sparkContext._jvm.System.gc()
+    table = spark.read.schema(df.schema).parquet(path)
+    table.staged_at = path
+    return table
+
+
+def release(*tables: DataFrame) -> None:
+    """Delete staged tables that nothing reads any more."""
+    for table in tables:
+        spark = table.sparkSession
+        path = spark._jvm.org.apache.hadoop.fs.Path(table.staged_at)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def text_or_empty(df: DataFrame) -> DataFrame:

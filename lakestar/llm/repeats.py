@@ -10,7 +10,8 @@ of the suffixes is ranked globally, and the rest follow from the sample, one buc
   Suffixes that follow each other and share a sample form a run. A bucket with one run holds no repeats and is done.
 * Long ties. Runs that are equal as a whole (from the first byte of the first suffix to the last byte of the last) have equal
   ranks of that whole, so that none of their suffixes has to be compared.
-* Only suffixes of a bucket's differing runs are ranked one by one, one suffix for each different run.
+* A bucket's differing runs, one of each kind, are split into blocks of ``PART`` suffixes, which fall into smaller buckets by the
+  bytes that all their suffixes share. Only what differs there as well is ranked suffix by suffix.
 
 All ranks are counted by partial aggregation; no bucket is gathered in a task, however many suffixes it has.
 
@@ -28,11 +29,13 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from lakestar.llm.common import bytes_of, prefix_hash, range_hash, staged, text_or_empty
+from lakestar.llm.common import bytes_of, mix, prefix_hash, range_hash, release, staged, text_or_empty
 
 LENGTH, GRAM = 400, 64
 # Suffixes of one text that are looked at together; longer texts take several steps.
 STEP = 1 << 20
+# Suffixes of a block.
+PART = 16
 
 
 def least_in_window(values: np.ndarray, width: int) -> np.ndarray:
@@ -47,7 +50,7 @@ def least_in_window(values: np.ndarray, width: int) -> np.ndarray:
 
 
 def runs(data: np.ndarray, length: int = LENGTH, gram: int = GRAM) -> Iterator[tuple[np.ndarray, ...]]:
-    """Runs of the suffixes of a text: first and last start, rank of their sample, rank of the whole run."""
+    """Runs of the suffixes of a text: first and last start, their sample, its rank, rank of the whole run."""
     for at in range(0, len(data) - length + 1, STEP):
         part = data[at : at + STEP + length - 1]
         prefix = prefix_hash(part)
@@ -60,15 +63,26 @@ def runs(data: np.ndarray, length: int = LENGTH, gram: int = GRAM) -> Iterator[t
         last = np.append(first[1:] - 1, len(sample) - 1)
         # The offset of the sample belongs to the whole: equal bytes around another sample are another run.
         whole = range_hash(prefix, first, last + length) + (sample[first] - first).astype(np.uint64)
-        yield first + at, last + at, rank[sample[first]], whole
+        yield first + at, last + at, sample[first] + at, rank[sample[first]], whole
 
 
 def _texts(documents: DataFrame) -> DataFrame:
+    """(doc_id, content, text): ``content`` is the MD5 of the text and stands for all of its copies."""
     docs = text_or_empty(documents)
     return docs.select("doc_id", F.unhex(F.md5(F.col("text").cast("binary"))).alias("content"), "text")
 
 
-_RUNS = pa.schema([("doc_id", pa.int64()), ("content", pa.binary()), ("first", pa.int32()), ("last", pa.int32()), ("bucket", pa.int64()), ("whole", pa.int64())])
+# A piece is a range of suffix starts in a text. Pieces of one bucket whose wholes are equal hold the same strings. ``lone`` pieces
+# are yet to be judged, the others only stand for strings that are known to repeat.
+_NAMES = ("content", "first", "last", "sample", "bucket", "whole", "lone")
+_TYPES = pa.schema(list(zip(_NAMES, (pa.binary(), pa.int32(), pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.bool_()), strict=True)))
+_PIECES = "content binary, first int, last int, sample int, bucket long, whole long, lone boolean"
+
+
+def _batch(content: pa.Array, rows: np.ndarray, first, last, sample, bucket, whole, lone) -> pa.RecordBatch:  # noqa: ANN001
+    whole, bucket = whole.view(np.int64), bucket.view(np.int64)
+    places = [pa.array(x.astype(np.int32)) for x in (first, last, sample)]
+    return pa.RecordBatch.from_arrays([content.take(pa.array(rows)), *places, pa.array(bucket), pa.array(whole), pa.array(lone)], schema=_TYPES)
 
 
 def _runs(texts: DataFrame) -> DataFrame:
@@ -76,71 +90,103 @@ def _runs(texts: DataFrame) -> DataFrame:
         for batch in batches:
             row, found = [], []
             for i in range(len(batch)):
-                for part in runs(bytes_of(batch.column(2), i)):
+                for part in runs(bytes_of(batch.column(1), i)):
                     row.append(np.full(len(part[0]), i))
                     found.append(part)
-            if not found:
-                continue
-            rows = pa.array(np.concatenate(row))
-            first, last, bucket, whole = (np.concatenate(c) for c in zip(*found, strict=True))
-            columns = [
-                batch.column(0).take(rows), batch.column(1).take(rows), pa.array(first.astype(np.int32)), pa.array(last.astype(np.int32)),
-                pa.array(bucket.view(np.int64)), pa.array(whole.view(np.int64)),
-            ]
-            yield pa.RecordBatch.from_arrays(columns, schema=_RUNS)
-
-    return texts.where(F.octet_length("text") >= LENGTH).mapInArrow(
-        find, "doc_id long, content binary, first int, last int, bucket long, whole long"
-    )
-
-
-def _single_suffixes(texts: DataFrame, chosen: DataFrame) -> DataFrame:
-    """(bucket, rank, content, start, lone): each suffix of the chosen runs with the rank of its ``LENGTH`` bytes."""
-    per_text = chosen.groupBy("doc_id", "content").agg(F.collect_list(F.struct("first", "last", "bucket", "lone")).alias("runs"))
-    per_text = staged(per_text.withColumnRenamed("doc_id", "id").withColumnRenamed("content", "key"), "chosen")
-    # One row per text even where rows are repeated.
-    there = texts.join(per_text, (F.col("content") == F.col("key")) & F.col("doc_id").eqNullSafe(F.col("id"))).select("key", "text", "runs")
-
-    def suffixes(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            if found:
+                rows = np.concatenate(row)
+                yield _batch(batch.column(0), rows, *(np.concatenate(c) for c in zip(*found, strict=True)), np.full(len(rows), True))
+
+    return texts.where(F.octet_length("text") >= LENGTH).select("content", "text").mapInArrow(find, _PIECES)
+
+
+def _split(pieces: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Ranges (content, first, last) that repeat as a whole, and one piece of each kind from buckets of several kinds."""
+    buckets = pieces.groupBy("bucket").agg(F.count("*").alias("n"), F.min("whole").alias("w1"), F.max("whole").alias("w2"))
+    buckets = staged(buckets.where("n > 1").select("bucket", (F.col("w1") != F.col("w2")).alias("mixed")), "buckets")
+    shared = staged(pieces.join(buckets, "bucket"), "shared")
+    release(buckets, pieces)
+    mixed = shared.where("mixed")
+    kinds = mixed.groupBy("bucket", "whole").agg(F.count("*").alias("n"), F.min(F.struct("content", "first", "last", "sample", "lone")).alias("r"))
+    kinds = staged(kinds.select("r.content", "r.first", "r.last", "r.sample", "bucket", "whole", (F.col("r.lone") & (F.col("n") == 1)).alias("lone"), (F.col("n") > 1).alias("tied")), "kinds")
+    ties = mixed.where("lone").join(kinds.where("tied").select("bucket", "whole"), ["bucket", "whole"], "left_semi")
+    repeated = staged(shared.where("not mixed and lone").select("content", "first", "last").union(ties.select("content", "first", "last")).distinct(), "repeated")
+    release(shared)
+    return repeated, kinds.drop("tied")
+
+
+def _one_of_each(texts: DataFrame, pieces: DataFrame) -> DataFrame:
+    """(content, text) of the texts that have pieces; of copies only one."""
+    keys = staged(pieces.select(F.col("content").alias("key")).distinct(), "keys")
+    return staged(texts.join(keys, F.col("content") == F.col("key"), "left_semi").groupBy("content").agg(F.first("text").alias("text")), "needed")
+
+
+def _with_pieces(texts: DataFrame, pieces: DataFrame) -> DataFrame:
+    """(content, text, pieces) for each text that has pieces."""
+    held = pieces.groupBy(F.col("content").alias("key")).agg(F.collect_list(F.struct("first", "last", "sample", "bucket", "lone")).alias("pieces"))
+    return texts.join(held, F.col("content") == F.col("key")).select("content", "text", "pieces")
+
+
+def _columns(row: pa.StructScalar) -> list[np.ndarray]:
+    values = row.values
+    return [values.field(c).to_numpy(zero_copy_only=False) for c in ("first", "last", "sample", "bucket", "lone")]
+
+
+def _spread(counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For counts n0, n1, ..: each index as often as it counts, and the number within it."""
+    index = np.repeat(np.arange(len(counts)), counts)
+    return index, np.arange(len(index)) - np.repeat(np.cumsum(counts) - counts, counts)
+
+
+def _blocks(held: DataFrame) -> DataFrame:
+    """The pieces cut into blocks by distance to their sample; a block's bucket is the bytes that all its suffixes share."""
+
+    def cut(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i in range(len(batch)):
                 data = bytes_of(batch.column(1), i)
-                for run in batch.column(2)[i].as_py():
-                    start = np.arange(run["first"], run["last"] + 1)
-                    prefix = prefix_hash(data[run["first"] : run["last"] + LENGTH])
-                    rank = range_hash(prefix, start - run["first"], start - run["first"] + LENGTH)
-                    n = len(start)
-                    yield pa.RecordBatch.from_arrays(
-                        [
-                            pa.array(np.full(n, run["bucket"])), pa.array(rank.view(np.int64)), batch.column(0).take(pa.array(np.full(n, i))),
-                            pa.array(start.astype(np.int32)), pa.array(np.full(n, run["lone"])),
-                        ],
-                        ["bucket", "rank", "content", "start", "lone"],
-                    )
-
-    return there.mapInArrow(suffixes, "bucket long, rank long, content binary, start int, lone boolean")
+                first, last, sample, bucket, lone = _columns(batch.column(2)[i])
+                low, high = (sample - last) // PART, (sample - first) // PART
+                run, k = _spread(high - low + 1)
+                block, at, prefix = low[run] + k, sample[run].astype(np.int64), prefix_hash(data)
+                near, far = at - PART * block, at - PART * block - PART + 1
+                start, end = np.maximum(far, 0), np.minimum(near + LENGTH, len(data))
+                core = range_hash(prefix, near, far + LENGTH)
+                whole = mix(range_hash(prefix, start, end) + (at - start).astype(np.uint64))
+                inner = mix(core + mix(bucket[run].view(np.uint64) + block.astype(np.uint64)))
+                begin, stop = np.maximum(first[run], far), np.minimum(last[run], near)
+                yield _batch(batch.column(0), np.full(len(run), i), begin, stop, at, inner, whole, lone[run])
+
+    return held.mapInArrow(cut, _PIECES)
+
+
+def _suffixes(held: DataFrame) -> DataFrame:
+    """The pieces' suffixes one by one, each with the rank of its ``LENGTH`` bytes as its whole."""
+
+    def cut(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(len(batch)):
+                first, last, sample, bucket, lone = _columns(batch.column(2)[i])
+                run, k = _spread(last - first + 1)
+                start, prefix = first[run].astype(np.int64) + k, prefix_hash(bytes_of(batch.column(1), i))
+                rank = range_hash(prefix, start, start + LENGTH)
+                yield _batch(batch.column(0), np.full(len(run), i), start, start, sample[run], bucket[run], rank, lone[run])
+
+    return held.mapInArrow(cut, _PIECES)
 
 
 def repeated_starts(documents: DataFrame) -> DataFrame:
     """(content, first, last): ranges of starts of ``LENGTH``-byte strings that also start elsewhere, for each different
     text (``content`` is its MD5)."""
     texts = _texts(documents)
-    found = staged(_runs(texts), "runs")
-    buckets = found.groupBy("bucket").agg(F.count("*").alias("n"), F.min("whole").alias("w1"), F.max("whole").alias("w2"))
-    buckets = staged(buckets.where("n > 1").select("bucket", (F.col("w1") != F.col("w2")).alias("mixed")), "buckets")
-    shared = found.join(buckets, "bucket")
-    equal = shared.where("not mixed").select("content", "first", "last")
-    mixed = staged(shared.where("mixed").drop("mixed"), "mixed")
-    # One suffix run stands for all equal ones; ``lone`` if there is only one.
-    wholes = mixed.groupBy("bucket", "whole").agg(F.count("*").alias("n"), F.min(F.struct("doc_id", "content", "first", "last")).alias("r"))
-    wholes = staged(wholes.select("bucket", "whole", "r.*", (F.col("n") == 1).alias("lone")), "wholes")
-    ties = wholes.where("not lone").select("bucket", "whole")
-    tied = mixed.join(ties, ["bucket", "whole"], "left_semi").select("content", "first", "last")
-    singles = staged(_single_suffixes(texts, wholes), "singles")
-    twice = staged(singles.groupBy("bucket", "rank").agg(F.count("*").alias("n")).where("n > 1").drop("n"), "ranks")
-    # What stands for several equal runs is counted with them.
-    single = singles.where("lone").join(twice, ["bucket", "rank"], "left_semi").select("content", F.col("start").alias("first"), F.col("start").alias("last"))
-    return equal.union(tied).union(single).distinct()
+    runs_equal, kinds = _split(staged(_runs(texts), "runs"))
+    needed = _one_of_each(texts, kinds)
+    blocks_equal, kinds = _split(staged(_blocks(_with_pieces(needed, kinds)), "blocks"))
+    suffixes = staged(_suffixes(_with_pieces(needed, kinds)), "suffixes")
+    release(needed)
+    twice = suffixes.groupBy("bucket", "whole").agg(F.count("*").alias("n")).where("n > 1").drop("n")
+    single = suffixes.where("lone").join(staged(twice, "twice"), ["bucket", "whole"], "left_semi").select("content", "first", "last")
+    return runs_equal.union(blocks_equal).union(single).distinct()
 
 
 def remove_repeats(documents: DataFrame, with_text: bool = False) -> DataFrame:
