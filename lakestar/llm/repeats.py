@@ -117,8 +117,12 @@ def _split(pieces: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 def _one_of_each(texts: DataFrame, pieces: DataFrame) -> DataFrame:
     """(content, text) of the texts that have pieces; of copies only one."""
-    keys = staged(pieces.select(F.col("content").alias("key")).distinct(), "keys")
-    return staged(texts.join(keys, F.col("content") == F.col("key"), "left_semi").groupBy("content").agg(F.first("text").alias("text")), "needed")
+    keys = pieces.select(F.col("content").alias("key")).distinct()
+    # Copies are told apart by id, so that many copies of a text don't meet in one task.
+    least = texts.groupBy("content").agg(F.min("doc_id").alias("least"))
+    keys = staged(least.join(keys, F.col("content") == F.col("key"), "left_semi").withColumnRenamed("content", "key"), "keys")
+    one = texts.join(keys, (F.col("content") == F.col("key")) & F.col("doc_id").eqNullSafe(F.col("least")), "left_semi")
+    return staged(one.groupBy("content").agg(F.first("text").alias("text")), "needed")
 
 
 def _with_pieces(texts: DataFrame, pieces: DataFrame) -> DataFrame:
