@@ -5,9 +5,10 @@
 2. Each tree of the forest orders the classes by a part of their signature. In that order the predecessor is the class with
    the longest common prefix, so the depth that is compared adapts to how dense a region is. Predecessor and
    first class of the region (equal in ``DEPTH`` values) are the candidates; they are confirmed on whole sets.
-3. Where the classes of a region still lie in different components, all remaining pairs of the region across components
-   are compared by signature, in blocks, and the likely ones confirmed. So no pair that shares a region in any tree is lost,
-   while a dense group needs about one comparison per member. A pair at the similarity bound shares no region
+3. Where the classes of a region still lie in different components, the remaining pairs of the region are compared in blocks: by
+   signature, and the likely ones on whole sets at once. A pair belongs to the first tree that has it in one region, and is passed over
+   where links found so far connect it, so that a block returns fewer links than it has classes. No pair that shares a
+   region in any tree is lost. A pair at the similarity bound shares no region
    with probability (1 - 0.8 ** 3) ** 32, about 1e-10.
 
 Defined results: NULL and empty texts and texts without words have an empty set and are linked with nothing; repeated
@@ -30,10 +31,10 @@ from lakestar.llm.components import components
 
 TREES, DEPTH = 32, 3
 HASHES = TREES * DEPTH
-# Signatures of sets at the bound agree in 77 of 96 places, with a deviation of 4; fewer than this is out of reach.
-LEAST_EQUAL = 48
+# Signatures of sets at the bound agree in 77 of 96 places, with a deviation of 3.9; fewer than this has a chance of 1e-8.
+LEAST_EQUAL = 54
 # Classes of a region compared in one task, in the second pass.
-BLOCK = 1_024
+BLOCK = 512
 
 _rng = np.random.default_rng(6)
 _FACTOR = (_rng.integers(0, 2**31, (HASHES, 1), dtype=np.uint32) * np.uint32(2)) + np.uint32(1)
@@ -73,20 +74,25 @@ def document_sets(documents: DataFrame, words: int) -> DataFrame:
     return text_or_empty(documents).mapInArrow(sets, "doc_id long, n_shingles long, cls binary, sig binary")
 
 
+def _region_ids(value: np.ndarray) -> np.ndarray:
+    """Region of each signature (a column of ``value``) in each tree."""
+    region = np.zeros((TREES, value.shape[1]), dtype=np.uint64) + np.arange(1, TREES + 1, dtype=np.uint64)[:, None]
+    for i in range(DEPTH):
+        region = mix(region * BASE + value[i::DEPTH])
+    return region
+
+
 def _entries(classes: DataFrame) -> DataFrame:
     """(region, deeper, cls): one row per class and tree. ``region`` stands for the tree and the first ``DEPTH`` values of
     the signature in that tree's order, ``deeper`` for the values after them."""
 
     def trees(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tree = np.arange(1, TREES + 1, dtype=np.uint64)[:, None]
         for batch in batches:
             if not len(batch):
                 continue
             value = np.frombuffer(b"".join(batch.column(1).to_pylist()), dtype=np.uint32).reshape(len(batch), HASHES)
             value = value.T.astype(np.uint64)
-            region = np.zeros((TREES, len(batch)), dtype=np.uint64) + tree
-            for i in range(DEPTH):
-                region = mix(region * BASE + value[i::DEPTH])
+            region = _region_ids(value)
             after = [np.roll(value[i::DEPTH], -1, axis=0) for i in range(2)]
             deeper = (after[0] << np.uint64(32)) | after[1]
             cls = batch.column(0).take(pa.array(np.tile(np.arange(len(batch)), TREES)))
@@ -129,6 +135,20 @@ def _ordered(pairs: DataFrame) -> DataFrame:
     return pairs.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
 
 
+def _whole_sets(documents: DataFrame, ids: DataFrame, words: int) -> DataFrame:
+    """(cls, items): sets of the documents with these ids, made again from their texts; each class once."""
+    # A class of documents without id is found by a NULL id.
+    wanted = staged(ids.distinct(), "wanted")
+    texts = text_or_empty(documents).alias("d").join(wanted.alias("w"), F.expr("d.doc_id <=> w.doc_id"), "left_semi")
+
+    def sets(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [shingle_set(bytes_of(batch.column(1), i), words) for i in range(len(batch))]
+            yield pa.RecordBatch.from_arrays([pa.array([_key(x) for x in found], pa.binary()), pa.array([x.tobytes() for x in found], pa.binary())], ["cls", "items"])
+
+    return staged(texts.mapInArrow(sets, "cls binary, items binary").dropDuplicates(["cls"]), "sets")
+
+
 def _confirmed(pairs: DataFrame, classes: DataFrame, documents: DataFrame, words: int, percent: int) -> DataFrame:
     """The pairs of classes whose whole sets reach the bound. Sets are made again from the texts of the classes in
     question only; their documents are found by id."""
@@ -140,16 +160,7 @@ def _confirmed(pairs: DataFrame, classes: DataFrame, documents: DataFrame, words
         .where(size)
     )
     pairs = staged(pairs, "pairs")
-    wanted = pairs.select(F.col("doc_a").alias("doc_id")).union(pairs.select("doc_b")).distinct()
-    # A class of documents without id is found by a NULL id.
-    texts = text_or_empty(documents).alias("d").join(wanted.alias("w"), F.expr("d.doc_id <=> w.doc_id"), "left_semi")
-
-    def sets(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            found = [shingle_set(bytes_of(batch.column(1), i), words) for i in range(len(batch))]
-            yield pa.RecordBatch.from_arrays([pa.array([_key(x) for x in found], pa.binary()), pa.array([x.tobytes() for x in found], pa.binary())], ["cls", "items"])
-
-    whole = staged(texts.mapInArrow(sets, "cls binary, items binary").dropDuplicates(["cls"]), "sets")
+    whole = _whole_sets(documents, pairs.select(F.col("doc_a").alias("doc_id")).union(pairs.select("doc_b")), words)
 
     def confirm(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -170,43 +181,57 @@ def _confirmed(pairs: DataFrame, classes: DataFrame, documents: DataFrame, words
     return staged(full.mapInArrow(confirm, "a binary, b binary"), "confirmed")
 
 
-def _unsettled(members: DataFrame, roots: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
-    """Likely pairs (a, b) among the members of a region that lie in different components.
+def _rest(members: DataFrame, roots: DataFrame, classes: DataFrame, documents: DataFrame, words: int, percent: int) -> DataFrame:
+    """Links (a, b) among the members of a region that lie in different components.
 
     Regions of one component, or of two members, have nothing left. The rest are cut into blocks of about ``BLOCK``
-    classes, and every two blocks of a region meet in one task, which looks at signatures only.
+    classes, and every two blocks of a region meet in one task.
     """
     known = members.where("n > 2").join(roots.withColumnRenamed("node", "cls"), "cls", "left").withColumn("root", F.coalesce("root", "cls"))
     mixed = known.groupBy("region").agg(F.min("root").alias("r1"), F.max("root").alias("r2")).where("r1 <> r2").select("region")
-    blocks = F.ceil(F.col("n") / BLOCK).cast("int")
-    own = F.pmod(F.xxhash64("cls"), F.col("blocks")).cast("int")
+    known = staged(known.join(staged(mixed, "mixed"), "region").select("region", "cls", "n", "root"), "rest")
+    described = classes.join(known.select("cls").distinct(), "cls", "left_semi")
+    whole = _whole_sets(documents, described.select("doc_id"), words)
+    described = staged(described.select("cls", "sig").join(whole, "cls"), "described")
     rows = (
-        known.join(staged(mixed, "mixed"), "region")
-        .join(classes.select("cls", "sig", "n_shingles"), "cls")
-        .withColumn("blocks", blocks)
-        .withColumn("own", own)
+        known.join(described, "cls")
+        .withColumn("blocks", F.ceil(F.col("n") / BLOCK).cast("int"))
+        .withColumn("own", F.pmod(F.xxhash64("cls"), F.col("blocks")).cast("int"))
         .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-        .select("region", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "cls", "root", "sig", "n_shingles")
+        .select("region", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "cls", "root", "sig", "items")
     )
 
-    def likely(group: pd.DataFrame) -> pd.DataFrame:
-        group = group.sort_values("own", kind="stable")
+    def links(group: pd.DataFrame) -> pd.DataFrame:
         sig = np.frombuffer(b"".join(group["sig"]), dtype=np.uint32).reshape(len(group), HASHES)
-        cls, n, own = group["cls"].to_numpy(), group["n_shingles"].to_numpy(), group["own"].to_numpy()
-        root = pd.factorize(group["root"])[0]
+        values = sig.reshape(len(group), TREES, DEPTH)
+        tree = int(np.flatnonzero(_region_ids(sig[:1].T.astype(np.uint64))[:, 0].view(np.int64) == group["region"].iloc[0])[0])
+        cls, own = group["cls"].to_numpy(), group["own"].to_numpy()
+        items = [np.frombuffer(x, dtype=np.uint64) for x in group["items"]]
+        n = np.array([len(x) for x in items])
+        label = pd.factorize(group["root"])[0]
         i, j = group["i"].iloc[0], group["j"].iloc[0]
-        left = np.flatnonzero(own == i)
-        right = np.flatnonzero(own == j)
         a, b = [], []
-        for x in left:
-            others = right[(right > x) & (root[right] != root[x])] if i == j else right[root[right] != root[x]]
+        for x in np.flatnonzero(own == i):
+            others = np.flatnonzero(own == j)
+            others = others[(others > x) | (i != j)]
+            others = others[label[others] != label[x]]
             others = others[100 * np.minimum(n[others], n[x]) >= percent * np.maximum(n[others], n[x])]
-            others = others[(sig[others] == sig[x]).sum(axis=1) >= LEAST_EQUAL]
-            a += [cls[x]] * len(others)
-            b += list(cls[others])
+            agree = (sig[others] == sig[x]).sum(axis=1)
+            others, agree = others[agree >= LEAST_EQUAL], agree[agree >= LEAST_EQUAL]
+            # Pairs that an earlier tree has in one region are looked at there.
+            earlier = (values[others, :tree] == values[x, :tree]).all(axis=2).any(axis=1)
+            others = others[~earlier][np.argsort(-agree[~earlier], kind="stable")]
+            for y in others:
+                if label[x] == label[y]:
+                    continue
+                both = len(np.intersect1d(items[x], items[y], assume_unique=True))
+                if 100 * both >= percent * (n[x] + n[y] - both):
+                    a.append(cls[x])
+                    b.append(cls[y])
+                    label[label == label[y]] = label[x]
         return pd.DataFrame({"a": a, "b": b})
 
-    return _ordered(rows.groupBy("region", "i", "j").applyInPandas(likely, "a binary, b binary"))
+    return staged(rows.groupBy("region", "i", "j").applyInPandas(links, "a binary, b binary"), "links")
 
 
 def near_duplicates(documents: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
@@ -220,8 +245,7 @@ def near_duplicates(documents: DataFrame, words: int = 5, percent: int = 80) ->
     starts = members.join(first, "region").select(F.col("cls").alias("a"), "b")
     links = _confirmed(_ordered(starts.union(_neighbours(members))), classes, documents, words, percent)
     roots = staged(components(links), "roots")
-    more = _unsettled(members, roots, classes, percent)
-    links = links.union(_confirmed(more, classes, documents, words, percent))
+    links = links.union(_rest(members, roots, classes, documents, words, percent))
     roots = staged(components(links), "roots")
     labelled = classes.join(roots, F.col("cls") == F.col("node"), "left").withColumn("root", F.coalesce("root", "cls"))
     least = labelled.groupBy("root").agg(F.min("doc_id").alias("component_id"))
