@@ -30,6 +30,7 @@ def observed_dates(sources: Iterable[tuple[DataFrame, Sequence[str]]], name: str
 
 
 def explode_dates(df: DataFrame, start: str, end: str, name: str = "date") -> DataFrame:
-    """One row per day from ``start`` to ``end``, both included."""
-    days = F.sequence(F.col(start).cast("date"), F.col(end).cast("date"), F.expr("interval 1 day"))
+    """One row per day from ``start`` to ``end``, both included; none where either is NULL or the range is reversed."""
+    first, last = F.col(start).cast("date"), F.col(end).cast("date")
+    days = F.when(first <= last, F.sequence(first, last, F.expr("interval 1 day")))
     return df.withColumn(name, F.explode(days))

@@ -53,8 +53,9 @@ def first_services(services: DataFrame, ties: Literal["all", "first"] = "all") -
 
 
 def first_diagnoses(diagnoses: DataFrame, codes: Sequence[str]) -> DataFrame:
-    """The diagnosis coded first for each admission: the lowest seq_num, then the least code."""
-    return first_value(diagnoses, ["hadm_id"], codes, ["seq_num"])
+    """The diagnosis coded first for each admission: the lowest seq_num, then the least code. A NULL seq_num comes last."""
+    known = diagnoses.withColumn("_unnumbered", F.col("seq_num").isNull())
+    return first_value(known, ["hadm_id"], codes, ["_unnumbered", "seq_num"])
 
 
 def fact_admissions(

@@ -8,6 +8,7 @@ from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 from typing import TypeVar
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import SparkSession
 
 T = TypeVar("T")
@@ -49,7 +50,8 @@ def build_session(app: str = "lakestar", master: str | None = None, conf: dict[s
 def together(*jobs: Callable[[], T], parallel: int = 4) -> list[T]:
     """Start independent Spark jobs a few at a time, so that small ones do not leave the cluster idle."""
     with ThreadPoolExecutor(max_workers=parallel) as pool:
-        return [job.result() for job in [pool.submit(job) for job in jobs]]
+        # Job groups and local properties of the caller hold for the jobs as well.
+        return [job.result() for job in [pool.submit(inheritable_thread_target(job)) for job in jobs]]
 
 
 def scratch_root(spark: SparkSession) -> str:

@@ -7,8 +7,7 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 from functools import partial
 
-from py4j.protocol import Py4JError
-from pyspark.errors import PySparkException
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from lakestar.session import together
@@ -91,16 +90,25 @@ class TolerantRead:
     skipped: dict[str, str] = field(default_factory=dict)
 
 
+# Conditions that mean that a source or one of its columns is not there.
+ABSENT = ("PATH_NOT_FOUND", "UNRESOLVED_COLUMN")
+
+
 def read_available(
     spark: SparkSession, sources: Mapping[str, Sequence[str]], root: str = "", fmt: str = DEFAULT_FORMAT
 ) -> TolerantRead:
-    """Scan ``{path: columns}``, leaving out with a warning every source whose path or columns do not resolve."""
+    """Scan ``{path: columns}``, leaving out with a warning every source whose path or columns do not resolve.
+
+    Any other failure (a damaged file, a store that denies or times out) is raised: it says nothing about absence.
+    """
     result = TolerantRead()
     for path, columns in sources.items():
         try:
             result.used[path] = read_table(spark, f"{root}{path}", columns, fmt)
-        except (PySparkException, Py4JError) as error:
-            reason = (isinstance(error, PySparkException) and error.getCondition()) or type(error).__name__
+        except AnalysisException as error:
+            reason = error.getCondition() or ""
+            if not reason.startswith(ABSENT):
+                raise
             log.warning("skipping source %s: %s", path, reason)
             result.skipped[path] = reason
     return result

@@ -256,3 +256,8 @@ def test_hot_admissions_of_stays_change_nothing(spark):
     assert "_fact_salt" in plan(hot) and "_fact_salt" not in plan(plain)
     assert rows(hot, *measures) == rows(plain, *measures)
     assert sum(r[1] == 3 for r in rows(plain, *measures)) == 101
+
+
+def test_unnumbered_diagnoses_come_last(spark):
+    rows = spark.createDataFrame([(1, None, "Z"), (1, 2, "B"), (1, 1, "A"), (2, None, "Y")], "hadm_id int, seq_num int, icd_code string")
+    assert sorted(map(tuple, facts.first_diagnoses(rows, ["icd_code"]).collect())) == [(1, "A"), (2, "Y")]

@@ -84,13 +84,18 @@ def test_ingest_copies_every_table_once(spark, tmp_path):
 
 def test_unreadable_sources_are_named(spark, tmp_path, caplog):
     spark.range(3).write.parquet(str(tmp_path / "good"))
-    (tmp_path / "broken").mkdir()
-    (tmp_path / "broken" / "part.parquet").write_text("this is no parquet file")
-    sources = {"good": ["id"], "absent": ["id"], "broken": ["id"], "good/": ["no_such_column"]}
+    sources = {"good": ["id"], "absent": ["id"], "good/": ["no_such_column"]}
     with caplog.at_level(logging.WARNING):
         found = read_available(spark, sources, root=f"{tmp_path}/")
-    assert list(found.used) == ["good"] and set(found.skipped) == {"absent", "broken", "good/"}
-    assert len([r for r in caplog.records if r.name == "lakestar.sources.tables"]) == 3
+    assert list(found.used) == ["good"] and set(found.skipped) == {"absent", "good/"}
+    assert len([r for r in caplog.records if r.name == "lakestar.sources.tables"]) == 2
+
+
+def test_damaged_sources_are_no_absent_ones(spark, tmp_path):
+    (tmp_path / "broken").mkdir()
+    (tmp_path / "broken" / "part.parquet").write_text("this is no parquet file")
+    with pytest.raises(Exception):  # noqa: B017
+        read_available(spark, {"broken": ["id"]}, root=f"{tmp_path}/")
 
 
 def test_catalog(spark, tmp_path):
