@@ -5,7 +5,9 @@ first, so that its leaves come best bin first. How many leaves a query visits is
 neighbours among all rows are found in blocks, and visits widen until the wanted share of them is in visited leaves.
 
 Leaves are searched as blocks of at most ``BLOCK`` vectors by at most ``BLOCK`` queries, so that neither a leaf with very many equal
-vectors nor a leaf that all queries visit ends in one task. A block returns ``k`` rows per query.
+vectors nor a leaf that all queries visit ends in one task. The first leaves of each query, as many as the square root of its
+visits, are searched before the others: the ``k``-th score there is a bound below which the other blocks return nothing, so that a
+query's rows grow with that root and not with its visits. The bound loses no result, as ``k`` better ones are known.
 
 Defined results: vectors that are NULL, empty or zero, or hold NULL or non-finite components, or have another length than most, take
 no part; a query with no candidates has no rows; a query's own id is never its neighbour, on repeated rows either; repeated
@@ -166,6 +168,41 @@ def calibrate(tree: Tree, indexed: DataFrame, queries: DataFrame, k: int) -> int
     return int(depth[min(len(depth) - 1, int(np.ceil(WANTED_RECALL * len(depth))))]) + 1 if len(depth) else 1
 
 
+def _ranked(found: DataFrame, k: int) -> DataFrame:
+    rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
+    return found.distinct().withColumn("rank", rank).where(F.col("rank") <= k)
+
+
+def _search_leaves(indexed: DataFrame, visiting: DataFrame, sizes: dict[int, int], k: int) -> DataFrame:
+    """(query_id, vec_id, score): in each leaf the ``k`` best of each query of ``visiting`` (query_id, vector, bound, leaf) that
+    reach its bound. ``sizes`` has the number of blocks of each leaf; the queries of a leaf are counted here."""
+    wide = {r["leaf"]: -(-r["n"] // BLOCK) for r in visiting.groupBy("leaf").agg(F.count("*").alias("n")).collect()}
+    both = [(leaf, n, wide[leaf]) for leaf, n in sizes.items() if leaf in wide] or [(-1, 1, 1)]
+    blocks = F.broadcast(indexed.sparkSession.createDataFrame(both, "leaf long, n int, m int"))
+
+    def dealt(df: DataFrame, key: str, own: str, other: str) -> DataFrame:
+        """Each row in one of its own blocks, together with every block of the other side."""
+        many = df.join(blocks, "leaf").withColumn("own", F.pmod(F.xxhash64(key), F.col(own)).cast("int"))
+        return many.withColumn("other", F.explode(F.sequence(F.lit(0), F.col(other) - 1))).drop("n", "m")
+
+    left = dealt(indexed, "vec_id", "n", "m").withColumnsRenamed({"own": "i", "other": "j"})
+    right = dealt(visiting, "query_id", "m", "n").withColumnsRenamed({"own": "j", "other": "i"})
+
+    def nearest(held: pd.DataFrame, asked: pd.DataFrame) -> pd.DataFrame:
+        out = [(np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64), np.zeros(0))]
+        if len(held) and len(asked):
+            ids, own = held["vec_id"].to_numpy(), asked["query_id"].to_numpy()
+            scores = _exact(_stack(asked["vector"]), _stack(held["vector"]))
+            reached = scores >= asked["bound"].to_numpy()[:, None]
+            for q in np.flatnonzero(reached.any(axis=1)):
+                at = np.flatnonzero(reached[q])
+                best = at[_top(ids[at], scores[q, at], own[q], k)]
+                out.append((np.full(len(best), own[q]), ids[best], scores[q, best]))
+        return pd.DataFrame(dict(zip(("query_id", "vec_id", "score"), (np.concatenate(c) for c in zip(*out, strict=True)), strict=True)))
+
+    return left.groupBy("leaf", "i", "j").cogroup(right.groupBy("leaf", "i", "j")).applyInPandas(nearest, "query_id long, vec_id long, score double")
+
+
 def search(vectors: DataFrame, is_query: Column, k: int = 20) -> DataFrame:
     """(query_id, rank, vec_id, score): the ``k`` nearest found for each row of ``vectors`` (vec_id, embedding) for which
     ``is_query`` holds, among all other rows, by inner product."""
@@ -188,37 +225,17 @@ def search(vectors: DataFrame, is_query: Column, k: int = 20) -> DataFrame:
     def visit(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             bins = [tree.best_bins(np.asarray(v), visits) for v in batch["vector"]]
-            yield pd.DataFrame({"query_id": batch["vec_id"], "vector": batch["vector"], "leaf": bins})
+            yield pd.DataFrame({"query_id": batch["vec_id"], "vector": batch["vector"], "bins": bins})
 
-    visiting = queries.select("vec_id", "vector").mapInPandas(visit, "query_id long, vector array<double>, leaf array<long>")
-    visiting = visiting.withColumn("leaf", F.explode("leaf"))
-    # Blocks of a leaf by its number of rows and of queries: one small row per leaf, and the tree is bounded.
+    visiting = staged(queries.select("vec_id", "vector").mapInPandas(visit, "query_id long, vector array<double>, bins array<long>"), "visiting")
+    # Blocks of a leaf by its number of rows: one small row per leaf, and the tree is bounded.
     sizes = {r["leaf"]: -(-r["n"] // BLOCK) for r in indexed.groupBy("leaf").agg(F.count("*").alias("n")).collect()}
-    wide = {r["leaf"]: -(-r["n"] // BLOCK) for r in visiting.groupBy("leaf").agg(F.count("*").alias("n")).collect()}
-    blocks = F.broadcast(spark.createDataFrame([(leaf, n, wide[leaf]) for leaf, n in sizes.items() if leaf in wide] or [(-1, 1, 1)], "leaf long, n int, m int"))
-
-    def dealt(df: DataFrame, key: str, own: str, other: str) -> DataFrame:
-        """Each row in one of its own blocks, together with every block of the other side."""
-        many = df.join(blocks, "leaf").withColumn("own", F.pmod(F.xxhash64(key), F.col(own)).cast("int"))
-        return many.withColumn("other", F.explode(F.sequence(F.lit(0), F.col(other) - 1))).drop("n", "m")
-
-    left = dealt(indexed, "vec_id", "n", "m").withColumnsRenamed({"own": "i", "other": "j"})
-    right = dealt(visiting, "query_id", "m", "n").withColumnsRenamed({"own": "j", "other": "i"})
-
-    def nearest(held: pd.DataFrame, asked: pd.DataFrame) -> pd.DataFrame:
-        if not len(held) or not len(asked):
-            return pd.DataFrame({"query_id": [], "vec_id": [], "score": []})
-        ids, own = held["vec_id"].to_numpy(), asked["query_id"].to_numpy()
-        scores = _exact(_stack(asked["vector"]), _stack(held["vector"]))
-        near = [_top(ids, scores[q], own[q], k) for q in range(len(own))]
-        return pd.DataFrame(
-            {
-                "query_id": np.repeat(own, [len(n) for n in near]),
-                "vec_id": np.concatenate([ids[n] for n in near]),
-                "score": np.concatenate([scores[q][n] for q, n in enumerate(near)]),
-            }
-        )
-
-    found = left.groupBy("leaf", "i", "j").cogroup(right.groupBy("leaf", "i", "j")).applyInPandas(nearest, "query_id long, vec_id long, score double")
-    rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
-    return found.distinct().withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
+    early = int(np.ceil(np.sqrt(visits)))
+    first = visiting.select("query_id", "vector", F.lit(-np.inf).alias("bound"), F.explode(F.slice("bins", 1, early)).alias("leaf"))
+    near = staged(_ranked(_search_leaves(indexed, first, sizes, k), k).drop("rank"), "near")
+    bounds = near.groupBy("query_id").agg(F.when(F.count("*") >= k, F.min("score")).alias("bound"))
+    rest = visiting.join(bounds, "query_id", "left").select(
+        "query_id", "vector", F.coalesce("bound", F.lit(-np.inf)).alias("bound"), F.explode(F.slice("bins", early + 1, visits)).alias("leaf")
+    )
+    found = _ranked(near.unionByName(_search_leaves(indexed, rest, sizes, k)), k)
+    return found.select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
