@@ -8,7 +8,10 @@ from typing import Literal
 from pyspark.sql import DataFrame, Window, functions as F
 
 from lakestar.operators.keys import PART, POS, by_part, last_positions, sorted_table, total_order
-from lakestar.operators.skew import HOT_ROWS, hash_of, hot_hashes
+from lakestar.operators.skew import HOT_ROWS, hash_of, hot_keys
+
+# Hot groups that a plan names one by one.
+MAX_LITERALS = 2000
 
 
 def first_by(df: DataFrame, keys: Sequence[str], order: Sequence[str], ties: Literal["first", "all"] = "first") -> DataFrame:
@@ -46,15 +49,18 @@ def next_value(
 ) -> DataFrame:
     """The value in the next row of the group, NULL in the last row. ``order`` should be total within a group.
 
-    Ordinary groups go through a window. A group too large for one task is sorted over many tasks instead.
+    Ordinary groups go through a window. Groups of more than ``hot_rows`` rows are sorted over many tasks instead; where
+    those are more than ``MAX_LITERALS``, all rows are.
     """
 
     def in_window(rows: DataFrame) -> DataFrame:
         return rows.withColumn(name, F.lead(value).over(Window.partitionBy(*keys).orderBy(*order)))
 
-    hot = hot_hashes(df, keys, min_rows=hot_rows)
+    hot = [row["h"] for row in hot_keys(df, keys, hot_rows).limit(MAX_LITERALS + 1).collect()]
     if not hot:
         return in_window(df)
+    if len(hot) > MAX_LITERALS:
+        return _next_across_ranges(df, keys, order, value, name)
     is_hot = hash_of(*keys).isin(hot)
     return in_window(df.filter(~is_hot)).unionByName(_next_across_ranges(df.filter(is_hot), keys, order, value, name))
 

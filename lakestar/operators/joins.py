@@ -9,11 +9,8 @@ from typing import Literal
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import ArrayType, BinaryType, MapType, StringType, StructType, VariantType
 
-from lakestar.operators.keys import require_unique, total_order
-from lakestar.operators.skew import hash_of, hot_hashes
-
-# Tasks that share the rows of a hot key.
-SALTS = 64
+from lakestar.operators.keys import require_unique, staged, total_order
+from lakestar.operators.skew import hash_of, hot_keys
 
 
 # The most a hinted broadcast may hold, by the count that goes before it.
@@ -58,14 +55,21 @@ class DimRef:
     hot_rows: int | None = None
 
 
-def _spread(fact: DataFrame, narrow: DataFrame, names: Sequence[str], keys: Sequence[str], hot: list[int]) -> tuple[DataFrame, DataFrame]:
-    """Give the rows of hot keys one of SALTS numbers, and repeat their dimension rows for each number."""
-    is_hot = hash_of(*names).isin(hot)
-    salt = F.when(is_hot, F.pmod(hash_of(*total_order(fact, names)), F.lit(SALTS))).otherwise(F.lit(0).cast("long"))
+def _spread(
+    fact: DataFrame, narrow: DataFrame, names: Sequence[str], keys: Sequence[str], hot: DataFrame, hot_rows: int
+) -> tuple[DataFrame, DataFrame]:
+    """Deal the rows of each hot key over one salt for every ``hot_rows`` of them, and repeat its dimension rows for each.
+
+    The salt follows from the row and the task that holds it, so copies of one row are dealt out as well.
+    """
+    numbers = broadcast_if_small(hot.select("h", F.ceil(F.col("rows") / hot_rows).alias("_salts")))
+    salt = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in total_order(fact, names)], F.spark_partition_id()), F.col("_salts"))
+    dealt = fact.withColumn("_h", hash_of(*names)).join(numbers.withColumnRenamed("h", "_h"), "_h", "left")
+    dealt = dealt.withColumn("_fact_salt", F.coalesce(salt, F.lit(0).cast("long"))).drop("_h", "_salts")
     same_type = [F.col(key).cast(fact.schema[name].dataType) for key, name in zip(keys, names, strict=True)]
-    numbers = F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long"))
-    repeated = F.when(hash_of(*same_type).isin(hot), numbers).otherwise(F.array(F.lit(0).cast("long")))
-    return fact.withColumn("_fact_salt", salt), narrow.withColumn("_dim_salt", F.explode(repeated))
+    repeated = narrow.withColumn("_h", hash_of(*same_type)).join(numbers.withColumnRenamed("h", "_h"), "_h", "left")
+    each = F.sequence(F.lit(0).cast("long"), F.coalesce(F.col("_salts"), F.lit(1).cast("long")) - 1)
+    return dealt, repeated.withColumn("_dim_salt", F.explode(each)).drop("_h", "_salts")
 
 
 def lookup(fact: DataFrame, ref: DimRef, how: Literal["left", "inner"] = "left") -> DataFrame:
@@ -77,19 +81,23 @@ def lookup(fact: DataFrame, ref: DimRef, how: Literal["left", "inner"] = "left")
     )
     if ref.broadcast_rows:
         narrow = broadcast_if_small(narrow, ref.broadcast_rows)
-    salted = False
+    salted, made = False, []
+    names = [left for left, _ in ref.on]
     if ref.hot_rows is not None:
-        names = [left for left, _ in ref.on]
-        hot = hot_hashes(fact, names, min_rows=ref.hot_rows)
-        if hot:
-            fact, narrow = _spread(fact, narrow, names, keys, hot)
+        # Expressions become columns, as keys are hashed and counted by name.
+        made = [f"_fact_key_{i}" for i, left in enumerate(names) if not isinstance(left, str)]
+        names = [left if isinstance(left, str) else f"_fact_key_{i}" for i, left in enumerate(names)]
+        fact = fact.withColumns({name: left for name, (left, _) in zip(names, ref.on, strict=True) if name in made})
+        hot = staged(hot_keys(fact, names, ref.hot_rows))
+        if hot.first():
+            fact, narrow = _spread(fact, narrow, names, keys, hot, ref.hot_rows)
             salted = True
     condition = fact["_fact_salt"] == narrow["_dim_salt"] if salted else None
-    for key, (left, _) in zip(keys, ref.on, strict=True):
+    for key, left in zip(keys, names, strict=True):
         side = fact[left] if isinstance(left, str) else left
         equal = side.eqNullSafe(narrow[key]) if ref.null_safe else side == narrow[key]
         condition = equal if condition is None else condition & equal
-    return fact.join(narrow, condition, how).drop(*keys, "_fact_salt", "_dim_salt")
+    return fact.join(narrow, condition, how).drop(*keys, *made, "_fact_salt", "_dim_salt")
 
 
 def star_join(fact: DataFrame, refs: Sequence[DimRef], strict: bool = False, check_unique: bool = False) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
-from pyspark.sql.types import MapType, StructType, VariantType
+from pyspark.sql.types import ArrayType, DataType, MapType, StructType, VariantType
 
 from lakestar.operators.skew import count_copies, expand_copies, hash_of
 from lakestar.session import scratch_path
@@ -43,11 +43,17 @@ def require_unique(df: DataFrame, key: Sequence[str]) -> DataFrame:
     return df
 
 
+def _sortable(kind: DataType) -> bool:
+    if isinstance(kind, StructType):
+        return all(_sortable(f.dataType) for f in kind.fields)
+    if isinstance(kind, ArrayType):
+        return _sortable(kind.elementType)
+    return not isinstance(kind, (MapType, VariantType))
+
+
 def total_order(df: DataFrame, order: Sequence[str]) -> list[str]:
     """``order`` followed by every other column that can be sorted, so that only exact copies tie."""
-    unsortable = (MapType, StructType, VariantType)
-    rest = [f.name for f in df.schema.fields if f.name not in order and not isinstance(f.dataType, unsortable)]
-    return [*order, *rest]
+    return [*order, *[f.name for f in df.schema.fields if f.name not in order and _sortable(f.dataType)]]
 
 
 def staged(df: DataFrame) -> DataFrame:

@@ -6,9 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-# A key is hot if it holds more than this share of the rows, so there are at most 1 / HOT_SHARE hot keys ...
-HOT_SHARE = 1 / 2000
-# ... and at least so many rows: fewer fit into one task in any case.
+# A key is hot if it holds more rows than this, whatever the size of the table: fewer fit into one task.
 HOT_ROWS = 1_000_000
 
 # Copies written out per generated array.
@@ -21,20 +19,13 @@ def hash_of(*columns: str | Column) -> Column:
     return F.xxhash64(*cols, *[c.isNull() for c in cols])
 
 
-def hot_hashes(df: DataFrame, keys: Sequence[str], share: float = HOT_SHARE, min_rows: int = HOT_ROWS) -> list[int]:
-    """Hashes of the keys that hold more than ``share`` of the rows.
+def hot_keys(df: DataFrame, keys: Sequence[str], min_rows: int = HOT_ROWS) -> DataFrame:
+    """(h, rows): the hash of every key with more than ``min_rows`` rows, and its exact number of rows.
 
-    One narrow pass with a bounded sketch per task; nothing is shuffled by key. The sketch only chooses the plan:
-    callers give the same result for a hot and for an ordinary key.
+    Rows are counted per task before the shuffle, so a hot key costs no more than another. The result has less than
+    one row for every ``min_rows`` rows of the frame.
     """
-    most = int(1 / share)
-    found = (
-        df.select(hash_of(*keys).alias("h"))
-        .agg(F.count("*").alias("rows"), F.expr(f"approx_top_k(h, {most}, {16 * most})").alias("top"))
-        .first()
-    )
-    limit = max(min_rows, found["rows"] * share)
-    return [entry["item"] for entry in found["top"] or [] if entry["count"] > limit]
+    return df.select(hash_of(*keys).alias("h")).groupBy("h").agg(F.count("*").alias("rows")).where(F.col("rows") > min_rows)
 
 
 def count_copies(df: DataFrame, name: str = "copies") -> DataFrame:

@@ -13,7 +13,7 @@ from functools import partial
 from pyspark.sql import DataFrame, SparkSession
 
 from lakestar.plans import calendars, dims, facts
-from lakestar.plans.silver import SILVER_TABLES, TableSpec, keep_full_ids
+from lakestar.plans.silver import COMPOSITE_IDS, SILVER_TABLES, TableSpec, cut_ids
 from lakestar.session import drop_scratch, together
 from lakestar.sources.catalog import register_all
 from lakestar.sources.tables import (
@@ -108,9 +108,9 @@ def silver(layers: Layers, specs: Mapping[str, TableSpec] = SILVER_TABLES) -> No
     together(*[partial(build, table) for table in specs])
 
 
-def full_id_specs() -> dict[str, TableSpec]:
-    """The silver rules with composite ids left whole, so that an administration joins only its own details."""
-    return {table: keep_full_ids(spec) for table, spec in SILVER_TABLES.items()}
+def cut_id_specs() -> dict[str, TableSpec]:
+    """The silver rules with composite ids cut to ints; whole ids are the default."""
+    return {**SILVER_TABLES, **{table: cut_ids(table) for table in COMPOSITE_IDS}}
 
 
 def admission_star(layers: Layers, codes: Sequence[str] = ("icd_code", "icd_version")) -> None:

@@ -48,9 +48,9 @@ SILVER_TABLES: dict[str, TableSpec] = {
     "transfers": _spec("hosp", "PatientTracking", int="subject_id hadm_id transfer_id", date="intime outtime"),
     "services": _spec("hosp", "Administration", int="subject_id hadm_id", date="transfertime"),
     "poe": _spec(
-        "hosp", "Administration", int="subject_id poe_seq hadm_id", date="ordertime", special={"poe_id": prefix_int}
+        "hosp", "Administration", int="subject_id poe_seq hadm_id", date="ordertime"
     ),
-    "poe_detail": _spec("hosp", "Administration", int="subject_id poe_seq", special={"poe_id": prefix_int}),
+    "poe_detail": _spec("hosp", "Administration", int="subject_id poe_seq"),
     "diagnoses_icd": _spec("hosp", "Billing", int="subject_id hadm_id icd_version seq_num"),
     "d_icd_diagnoses": _spec("hosp", "Billing", int="icd_version"),
     "procedures_icd": _spec("hosp", "Billing", int="icd_version subject_id hadm_id seq_num", date="chartdate"),
@@ -67,15 +67,13 @@ SILVER_TABLES: dict[str, TableSpec] = {
         "hosp", "Medication",
         int="subject_id hadm_id pharmacy_id poe_seq",
         date="starttime stoptime",
-        special={"poe_id": prefix_int},
     ),
     "emar": _spec(
         "hosp", "Medication",
         int="subject_id hadm_id emar_seq pharmacy_id",
         date="charttime scheduletime storetime",
-        special={"emar_id": prefix_int},
     ),
-    "emar_detail": _spec("hosp", "Medication", int="subject_id emar_seq pharmacy_id", special={"emar_id": prefix_int}),
+    "emar_detail": _spec("hosp", "Medication", int="subject_id emar_seq pharmacy_id"),
     "labevents": _spec(
         "hosp", "Measurement",
         date="charttime storetime",
@@ -131,9 +129,15 @@ SILVER_TABLES: dict[str, TableSpec] = {
 }
 
 
-def keep_full_ids(spec: TableSpec) -> TableSpec:
-    """The same table with its composite ids left whole instead of cut to their first characters."""
-    return TableSpec(spec.folder, spec.area, {name: rule for name, rule in spec.rules.items() if rule is not prefix_int})
+# The tables with a composite id, and its column.
+COMPOSITE_IDS = {"poe": "poe_id", "poe_detail": "poe_id", "prescriptions": "poe_id", "emar": "emar_id", "emar_detail": "emar_id"}
+
+
+def cut_ids(table: str) -> TableSpec:
+    """The table with its composite id cut to an int of the first characters. Ids that share them become equal, and those
+    whose first part is shorter are lost, so this has to be asked for."""
+    spec = SILVER_TABLES[table]
+    return TableSpec(spec.folder, spec.area, {**spec.rules, COMPOSITE_IDS[table]: prefix_int})
 
 
 def keep_times(spec: TableSpec) -> TableSpec:

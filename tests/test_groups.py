@@ -3,6 +3,7 @@ from __future__ import annotations
 import pytest
 from pyspark.sql import Window, functions as F
 
+from lakestar.operators import groups
 from lakestar.operators.groups import dedupe, first_by, first_value, next_value
 from lakestar.operators.unions import explode_dates, observed_dates, union_all, union_distinct
 from tests.helpers import plan, rows
@@ -93,3 +94,12 @@ def test_explode_dates(spark):
     assert [(k, str(d)) for k, d in rows(explode_dates(df, "a", "b"), "k", "date")] == [
         (1, "2020-02-28"), (1, "2020-02-29"), (1, "2020-03-01"), (2, "2020-01-01"),
     ]
+
+
+def test_next_value_with_more_hot_groups_than_a_plan_names(spark, monkeypatch):
+    monkeypatch.setattr(groups, "MAX_LITERALS", 5)
+    df = spark.range(2000).select((F.col("id") % 40).alias("k"), F.col("id").alias("t"))
+    out = next_value(df, ["k"], ["t"], "t", "nxt", hot_rows=20)
+    # No group is left in a window of its own.
+    assert "Union" not in plan(out) and "_part" in plan(out)
+    assert rows(out) == rows(df.withColumn("nxt", F.lead("t").over(Window.partitionBy("k").orderBy("t"))))

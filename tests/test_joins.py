@@ -114,3 +114,13 @@ def test_hot_keys_are_spread_over_salts(spark):
     spread = lookup(facts, DimRef(counts, [("k", "k")], {"n": "n"}, hot_rows=100))
     assert "_fact_salt" in plan(spread) and rows(spread) == expected
     assert "_fact_salt" not in plan(lookup(facts, DimRef(counts, [("k", "k")], {"n": "n"}, hot_rows=10_000)))
+
+
+def test_hot_keys_may_be_expressions_and_copies(spark):
+    """A hot key given as an expression, whose rows are all copies of each other, and more hot keys than a few."""
+    facts = spark.range(6000).select((F.col("id") % 20).alias("k"))
+    counts = spark.range(500).groupBy((F.col("id") % 250).alias("k")).agg(F.count("*").alias("n"))
+    on = [((F.col("k") + 1).cast("long"), "k")]
+    expected = rows(lookup(facts, DimRef(counts, on, {"n": "n"})))
+    spread = lookup(facts, DimRef(counts, on, {"n": "n"}, hot_rows=30))
+    assert spread.columns == ["k", "n"] and "_fact_salt" in plan(spread) and rows(spread) == expected

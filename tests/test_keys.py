@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from lakestar.operators import skew
 from lakestar.operators.keys import dense_key, duplicates, require_unique, sorted_table, stable_key, unique_id
-from lakestar.operators.skew import count_copies, expand_copies, hot_hashes
+from lakestar.operators.skew import count_copies, expand_copies, hot_keys
 from tests.helpers import plan, rows
 
 
@@ -95,7 +95,6 @@ def test_copies_come_back(spark, monkeypatch):
 
 def test_hot_keys_are_found(spark):
     df = spark.range(9000).select(F.when(F.col("id") % 3 == 0, F.lit(None)).otherwise(F.col("id")).alias("k"))
-    assert hot_hashes(df, ["k"]) == []
-    hot = hot_hashes(df, ["k"], min_rows=100)
+    assert rows(hot_keys(df, ["k"])) == []
     null_hash = df.filter("k is null").limit(1).select(skew.hash_of("k")).first()[0]
-    assert hot == [null_hash]
+    assert rows(hot_keys(df, ["k"], 100)) == [(null_hash, 3000)]

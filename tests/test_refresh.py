@@ -7,7 +7,7 @@ import datetime as dt
 import pytest
 
 from lakestar.plans import refresh
-from lakestar.plans.silver import SILVER_TABLES, keep_full_ids, keep_times
+from lakestar.plans.silver import SILVER_TABLES, cut_ids, keep_times
 from tests.helpers import rows
 
 # Records of the tables that matter; the others get one row of empty fields.
@@ -65,7 +65,7 @@ def layers(spark, tmp_path_factory):
         path.write_text("\n".join(lines) + "\n")
     made = refresh.Layers(spark, *[str(root / part) for part in ("raw", "bronze", "silver", "gold")])
     refresh.bronze(made)
-    refresh.silver(made, refresh.full_id_specs())
+    refresh.silver(made)
     for star in (refresh.admission_star, refresh.icu_star, refresh.coding_star, refresh.medication_star, refresh.catalog):
         star(made)
     return made
@@ -73,7 +73,8 @@ def layers(spark, tmp_path_factory):
 
 def test_specs_cover_the_tables():
     assert len(SILVER_TABLES) == 31
-    assert sum(len(spec.rules) for spec in SILVER_TABLES.values()) == 186
+    assert sum(len(spec.rules) for spec in SILVER_TABLES.values()) == 181
+    assert sum(len(spec.rules) for spec in refresh.cut_id_specs().values()) == 186
     assert sum(spec.folder == "icu" for spec in SILVER_TABLES.values()) == 9
     assert SILVER_TABLES["provider"].rules == {}
 
@@ -88,11 +89,11 @@ def test_silver_is_typed(layers):
     assert layers.silver_table("provider").columns == ["note"]
 
 
-def test_composite_ids_are_cut_by_default(spark):
+def test_composite_ids_are_cut_on_request(spark):
     raw = spark.createDataFrame([("10000001-1", "1", "2")], "emar_id string, emar_seq string, pharmacy_id string")
     raw = raw.selectExpr("*", "'3' AS subject_id")
-    assert SILVER_TABLES["emar_detail"].build(raw).first()["emar_id"] == 10000001
-    assert keep_full_ids(SILVER_TABLES["emar_detail"]).build(raw).first()["emar_id"] == "10000001-1"
+    assert SILVER_TABLES["emar_detail"].build(raw).first()["emar_id"] == "10000001-1"
+    assert cut_ids("emar_detail").build(raw).first()["emar_id"] == 10000001
 
 
 def test_times_can_be_kept(spark):
@@ -149,5 +150,5 @@ def test_whole_refresh_from_the_raw_files(spark, layers, tmp_path):
     fresh = refresh.Layers(spark, layers.raw, *[str(tmp_path / part) for part in ("bronze", "silver", "gold")])
     refresh.refresh(fresh)
     med = fresh.gold_table(refresh.MEDICATION_STAR, "fact_medication_administration").first()
-    assert med["emar_id"] == 10000001 and med["drug_sk"] is not None
+    assert med["emar_id"] == "10000001-1" and med["drug_sk"] is not None
     assert fresh.gold_table(refresh.ADMISSION_STAR, "fact_admissions").count() == 2

@@ -101,12 +101,13 @@ def silver_chartevents(t: Tables) -> DataFrame:
 
 
 @query("""
-SELECT CAST(o_custkey AS INTEGER) AS subject_id, CAST(o_custkey AS INTEGER) AS emar_id, CAST(o_orderkey AS INTEGER) AS emar_seq,
+SELECT CAST(o_custkey AS INTEGER) AS subject_id, lpad(CAST(o_custkey AS VARCHAR), 8, '0') || '-' || o_orderkey AS emar_id,
+  CAST(o_orderkey AS INTEGER) AS emar_seq,
   CAST(NULL AS INTEGER) AS pharmacy_id
 FROM orders
 """)
 def silver_emar_detail(t: Tables) -> DataFrame:
-    """Administration details as text: the composite id is cut to its first eight characters."""
+    """Administration details as text: the composite id stays whole."""
     customer, order = F.col("o_custkey").cast("string"), F.col("o_orderkey").cast("string")
     raw = t.orders.select(
         customer.alias("subject_id"),
