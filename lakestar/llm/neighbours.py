@@ -5,9 +5,9 @@ first, so that its leaves come best bin first. How many leaves a query visits is
 neighbours among all rows are found in blocks, and visits widen until the wanted share of them is in visited leaves.
 
 Leaves are searched as blocks of at most ``BLOCK`` vectors by at most ``BLOCK`` queries, so that neither a leaf with very many equal
-vectors nor a leaf that all queries visit ends in one task. The first leaves of each query, as many as the square root of its
-visits, are searched before the others: the ``k``-th score there is a bound below which the other blocks return nothing, so that a
-query's rows grow with that root and not with its visits. The bound loses no result, as ``k`` better ones are known.
+vectors nor a leaf that all queries visit ends in one task. A query's leaves are searched in ``ROUNDS`` rounds, best bins first: the
+``k``-th score so far is a bound below which the blocks of the next round return nothing. Rounds end at the powers 1/3, 2/3 and 1 of
+the visits, so that a query's rows grow with their cube root. The bound loses no result, as ``k`` better ones are known.
 
 Defined results: vectors that are NULL, empty or zero, or hold NULL or non-finite components, or have another length than most, take
 no part; a query with no candidates has no rows; a query's own id is never its neighbour, on repeated rows either; repeated
@@ -32,6 +32,7 @@ BRANCHES, LEVELS, LEAST_SPLIT, ITERATIONS = 12, 3, 60, 8
 # Queries for calibration at most, and the share of their exact neighbours that visited leaves must hold.
 CALIBRATION_QUERIES, WANTED_RECALL = 256, 0.97
 BLOCK = 2_048
+ROUNDS = 3
 
 
 @dataclass(frozen=True)
@@ -230,12 +231,15 @@ def search(vectors: DataFrame, is_query: Column, k: int = 20) -> DataFrame:
     visiting = staged(queries.select("vec_id", "vector").mapInPandas(visit, "query_id long, vector array<double>, bins array<long>"), "visiting")
     # Blocks of a leaf by its number of rows: one small row per leaf, and the tree is bounded.
     sizes = {r["leaf"]: -(-r["n"] // BLOCK) for r in indexed.groupBy("leaf").agg(F.count("*").alias("n")).collect()}
-    early = int(np.ceil(np.sqrt(visits)))
-    first = visiting.select("query_id", "vector", F.lit(-np.inf).alias("bound"), F.explode(F.slice("bins", 1, early)).alias("leaf"))
-    near = staged(_ranked(_search_leaves(indexed, first, sizes, k), k).drop("rank"), "near")
-    bounds = near.groupBy("query_id").agg(F.when(F.count("*") >= k, F.min("score")).alias("bound"))
-    rest = visiting.join(bounds, "query_id", "left").select(
-        "query_id", "vector", F.coalesce("bound", F.lit(-np.inf)).alias("bound"), F.explode(F.slice("bins", early + 1, visits)).alias("leaf")
-    )
-    found = _ranked(near.unionByName(_search_leaves(indexed, rest, sizes, k)), k)
+    found, done = None, 0
+    for end in [int(np.ceil(visits ** (i / ROUNDS))) for i in range(1, ROUNDS)] + [visits]:
+        part = visiting.withColumn("leaf", F.explode(F.slice("bins", done + 1, end - done)))
+        if found is None:
+            part = part.withColumn("bound", F.lit(-np.inf))
+        else:
+            bounds = found.groupBy("query_id").agg(F.when(F.count("*") >= k, F.min("score")).alias("bound"))
+            part = part.join(bounds, "query_id", "left").withColumn("bound", F.coalesce("bound", F.lit(-np.inf)))
+        here = _search_leaves(indexed, part.select("query_id", "vector", "bound", "leaf"), sizes, k)
+        found = staged(_ranked(found.drop("rank").unionByName(here) if found is not None else here, k), "near")
+        done = end
     return found.select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
