@@ -6,6 +6,7 @@ from collections.abc import Sequence
 from typing import Literal
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql.types import IntegerType
 
 from lakestar.functions.casts import lenient_double
 from lakestar.functions.dates import date_key, hours_between, seconds_between
@@ -268,10 +269,12 @@ def fact_medication_administration(
 ) -> DataFrame:
     """One row per detail of an administration, with patient, drug and date where known.
 
-    ``on`` names the columns that tie a detail to its administration; ids cut to a prefix alone would match every
-    administration of a patient with each other. With ``fill_route`` a missing route looks up the "unknown" of the
+    ``on`` names the columns that tie a detail to its administration; ids cut to a prefix (ints) alone would match every
+    administration of a patient with each other, and are refused. With ``fill_route`` a missing route looks up the "unknown" of the
     drug dimension, otherwise it finds nothing. The dimensions are broadcast if a count finds them small enough.
     """
+    if list(on) == ["emar_id"] and isinstance(details.schema["emar_id"].dataType, IntegerType):
+        raise ValueError("cut ids do not tell administrations apart; add emar_seq to on, or keep the ids whole")
     detail = details.select(
         "emar_id", "emar_seq", "route", "product_description", "product_unit", "dose_given", "administration_type"
     )

@@ -12,9 +12,10 @@ from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 
+from lakestar.operators.keys import require_unique
 from lakestar.plans import calendars, dims, facts
 from lakestar.plans.silver import COMPOSITE_IDS, SILVER_TABLES, TableSpec, cut_ids
-from lakestar.session import drop_scratch, together
+from lakestar.session import scratch_scope, together
 from lakestar.sources.catalog import register_all
 from lakestar.sources.tables import (
     DEFAULT_FORMAT,
@@ -59,7 +60,7 @@ MEDICATION_DATES = ("2109-01-01", "2215-12-31")
 
 @dataclass(frozen=True)
 class Layers:
-    """Where the layers live, and the format of all but the raw one."""
+    """Where the layers live, and the format of all but the raw one. ``repair`` writes half-written tables anew."""
 
     spark: SparkSession
     raw: str
@@ -67,6 +68,7 @@ class Layers:
     silver: str
     gold: str
     fmt: str = DEFAULT_FORMAT
+    repair: bool = False
 
     def silver_path(self, table: str) -> str:
         return f"{self.silver}/{SILVER_TABLES[table].area}/{table}"
@@ -80,30 +82,35 @@ class Layers:
     def gold_table(self, star: str, table: str) -> DataFrame:
         return read_table(self.spark, self.gold_path(star, table), fmt=self.fmt)
 
-    def create_all(self, star: str, builders: Mapping[str, Callable[[], DataFrame]]) -> list[DataFrame]:
-        """Create tables that do not depend on each other, several at a time."""
-        return together(*[partial(self.create, star, table, build) for table, build in builders.items()])
+    def create_all(
+        self, star: str, builders: Mapping[str, Callable[[], DataFrame]], unique: Mapping[str, Sequence[str]] | None = None
+    ) -> list[DataFrame]:
+        """Create tables that do not depend on each other, several at a time; ``unique`` names key columns to check."""
+        unique = unique or {}
+        return together(*[partial(self.create, star, table, build, unique.get(table, ())) for table, build in builders.items()])
 
-    def create(self, star: str, table: str, build: Callable[[], DataFrame]) -> DataFrame:
-        """Build and write a gold table unless it is complete, and read it back."""
+    def create(self, star: str, table: str, build: Callable[[], DataFrame], unique: Sequence[str] = ()) -> DataFrame:
+        """Build and write a gold table unless it is complete, and read it back. A table whose ``unique`` columns repeat is
+        an error, on every run, before anything is joined with it."""
         path = self.gold_path(star, table)
         if not is_complete(self.spark, path, self.fmt):
-            write_new(build(), path, self.fmt)
-        return self.gold_table(star, table)
+            write_new(build(), path, self.fmt, repair=self.repair)
+        made = self.gold_table(star, table)
+        return require_unique(made, unique) if unique else made
 
 
 def bronze(layers: Layers) -> None:
     folders: dict[str, list[str]] = {}
     for table, spec in SILVER_TABLES.items():
         folders.setdefault(spec.folder, []).append(table)
-    ingest(layers.spark, folders, layers.raw, layers.bronze, layers.fmt)
+    ingest(layers.spark, folders, layers.raw, layers.bronze, layers.fmt, repair=layers.repair)
 
 
 def silver(layers: Layers, specs: Mapping[str, TableSpec] = SILVER_TABLES) -> None:
     def build(table: str) -> None:
         spec = specs[table]
         raw = read_table(layers.spark, f"{layers.bronze}/{spec.folder}/{table}", fmt=layers.fmt)
-        write_new(spec.build(raw), layers.silver_path(table), layers.fmt)
+        write_new(spec.build(raw), layers.silver_path(table), layers.fmt, repair=layers.repair)
 
     together(*[partial(build, table) for table in specs])
 
@@ -124,6 +131,8 @@ def admission_star(layers: Layers, codes: Sequence[str] = ("icd_code", "icd_vers
             "dim_service": lambda: dims.numbered_service_dim(table("services")),
             "dim_diagnosis": lambda: dims.used_diagnosis_dim(table("diagnoses_icd"), table("d_icd_diagnoses"), codes),
         },
+        # A patient who is there twice would double the facts.
+        unique={"dim_patient": ["subject_id"]},
     )
     layers.create(
         star,
@@ -173,6 +182,8 @@ def coding_star(layers: Layers) -> None:
             "dim_diagproc_admission": lambda: dims.admission_dim(table("admissions")),
             "dim_diagproc_date": lambda: calendars.weekend_calendar(table("procedures_icd"), "chartdate"),
         },
+        # Hashes of two columns could collide.
+        unique={"dim_diagnosis": ["diagnosis_sk"], "dim_procedure": ["procedure_sk"]},
     )
     layers.create_all(
         star,
@@ -201,6 +212,7 @@ def medication_star(layers: Layers, on: Sequence[str] = ("emar_id", "emar_seq"))
             "dim_service": lambda: dims.service_dim(table("services")),
             "dim_medication": lambda: dims.medication_dim(table("emar_detail")),
         },
+        unique={"dim_service": ["service_sk"], "dim_medication": ["drug_sk"]},
     )
     layers.create(
         star,
@@ -231,13 +243,30 @@ def catalog(layers: Layers) -> None:
     register_all(layers.spark, {**stars, SILVER_DATABASE: typed}, layers.fmt)
 
 
-def refresh(layers: Layers) -> None:
-    """Everything from the raw files to the catalog."""
-    bronze(layers)
-    silver(layers)
-    admission_star(layers)
-    icu_star(layers)
-    coding_star(layers)
-    medication_star(layers)
-    catalog(layers)
-    drop_scratch(layers.spark)
+STEPS = ("bronze", "silver", "admissions", "icu", "coding", "medication", "catalog")
+
+
+def refresh(
+    layers: Layers,
+    steps: Sequence[str] = STEPS,
+    specs: Mapping[str, TableSpec] = SILVER_TABLES,
+    codes: Sequence[str] = ("icd_code", "icd_version"),
+    on: Sequence[str] = ("emar_id", "emar_seq"),
+) -> None:
+    """Everything from the raw files to the catalog, or the named steps, always in that order."""
+    unknown = set(steps) - set(STEPS)
+    if unknown:
+        raise ValueError(f"no such step: {', '.join(sorted(unknown))}")
+    run = {
+        "bronze": lambda: bronze(layers),
+        "silver": lambda: silver(layers, specs),
+        "admissions": lambda: admission_star(layers, codes),
+        "icu": lambda: icu_star(layers),
+        "coding": lambda: coding_star(layers),
+        "medication": lambda: medication_star(layers, on),
+        "catalog": lambda: catalog(layers),
+    }
+    with scratch_scope(layers.spark):
+        for step in STEPS:
+            if step in steps:
+                run[step]()

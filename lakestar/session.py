@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from concurrent.futures import ThreadPoolExecutor
+from contextlib import contextmanager
 from typing import TypeVar
 
 from pyspark import inheritable_thread_target
@@ -26,6 +27,9 @@ SQL_CONF = {
 }
 
 
+# Session setting that names the folder of the scratch scope in use.
+_SCOPE = "lakestar.scratch.scope"
+
 # Scratch folder of local sessions that name no shared one, by application.
 _local_scratch: dict[str, str] = {}
 
@@ -71,10 +75,28 @@ def scratch_root(spark: SparkSession) -> str:
 
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A path that no other call gets."""
-    return f"{scratch_root(spark)}/{label}-{uuid.uuid4().hex}"
+    scope = spark.conf.get(_SCOPE, "")
+    return "/".join(part for part in (scratch_root(spark), scope, f"{label}-{uuid.uuid4().hex}") if part)
+
+
+def _delete(spark: SparkSession, folder: str) -> None:
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def drop_scratch(spark: SparkSession) -> None:
     """Delete this application's intermediate tables; call it once the results built on them are written."""
-    path = spark._jvm.org.apache.hadoop.fs.Path(scratch_root(spark))
-    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    _delete(spark, scratch_root(spark))
+
+
+@contextmanager
+def scratch_scope(spark: SparkSession) -> Iterator[None]:
+    """Intermediate tables made inside get a folder of their own, which is deleted at the end, also after a failure.
+    Those made before or by others stay."""
+    before, scope = spark.conf.get(_SCOPE, ""), f"scope-{uuid.uuid4().hex}"
+    spark.conf.set(_SCOPE, scope)
+    try:
+        yield
+    finally:
+        spark.conf.set(_SCOPE, before)
+        _delete(spark, f"{scratch_root(spark)}/{scope}")

@@ -39,6 +39,13 @@ def _exists(spark: SparkSession, path: str) -> bool:
     return hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(hadoop_path)
 
 
+def _holds_files(spark: SparkSession, path: str) -> bool:
+    """Whether a folder holds more than hidden entries, such as those a failed job leaves."""
+    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    store = hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration())
+    return store.exists(hadoop_path) and any(not s.getPath().getName().startswith(("_", ".")) for s in store.listStatus(hadoop_path))
+
+
 def is_complete(spark: SparkSession, path: str, fmt: str = DEFAULT_FORMAT) -> bool:
     """Whether a table was fully written at ``path``: a folder left behind by a failed job does not count."""
     return _exists(spark, f"{path.rstrip('/')}/{SUCCESS_MARKER}" if fmt in FILE_FORMATS else path)
@@ -49,13 +56,22 @@ def _writer(df: DataFrame, fmt: str, partition_by: Sequence[str]):
     return writer.partitionBy(*partition_by) if partition_by else writer
 
 
-def write_new(df: DataFrame, path: str, fmt: str = DEFAULT_FORMAT, partition_by: Sequence[str] = ()) -> bool:
-    """Create the table unless it is there already; returns whether it was written."""
+def write_new(
+    df: DataFrame, path: str, fmt: str = DEFAULT_FORMAT, partition_by: Sequence[str] = (), repair: bool = False
+) -> bool:
+    """Create the table unless it is there already; returns whether it was written.
+
+    Files without a marker may be a table that was copied here or the rest of a failed job. They are never overwritten
+    unasked: without ``repair`` they are an error.
+    """
     spark = df.sparkSession
     if is_complete(spark, path, fmt):
         return False
-    # A file folder without its marker is the rest of a failed job, which mode "ignore" would keep for good.
-    mode = "overwrite" if fmt in FILE_FORMATS else "ignore"
+    mode = "ignore"
+    if fmt in FILE_FORMATS:
+        if _holds_files(spark, path) and not repair:
+            raise FileExistsError(f"{path} holds files but no {SUCCESS_MARKER}; repair=True writes it anew")
+        mode = "overwrite" if _exists(spark, path) else "errorifexists"
     _writer(df, fmt, partition_by).mode(mode).save(path)
     return True
 
@@ -72,11 +88,12 @@ def ingest(
     target_root: str,
     fmt: str = DEFAULT_FORMAT,
     parallel: int = 4,
+    repair: bool = False,
 ) -> None:
     """Copy ``{folder: [table, ...]}`` from ``raw_root/folder/table.csv`` to columnar tables, each created once."""
 
     def copy(name: str) -> None:
-        write_new(read_csv(spark, f"{raw_root}/{name}.csv"), f"{target_root}/{name}", fmt)
+        write_new(read_csv(spark, f"{raw_root}/{name}.csv"), f"{target_root}/{name}", fmt, repair=repair)
 
     names = [f"{folder}/{table}" for folder, tables_in in tables.items() for table in tables_in]
     together(*[partial(copy, name) for name in names], parallel=parallel)

@@ -43,6 +43,16 @@ def test_write_new_repairs_a_failed_write(spark, tmp_path):
     write_new(spark.range(9), str(path))
     (path / "_SUCCESS").unlink()
     assert not is_complete(spark, str(path))
+    with pytest.raises(FileExistsError, match="repair=True"):
+        write_new(spark.range(3), str(path))
+    assert read_table(spark, str(path)).count() == 9
+    assert write_new(spark.range(3), str(path), repair=True)
+    assert read_table(spark, str(path)).count() == 3
+
+
+def test_write_new_takes_what_a_failed_job_left_hidden(spark, tmp_path):
+    path = tmp_path / "t"
+    (path / "_temporary").mkdir(parents=True)
     assert write_new(spark.range(3), str(path))
     assert read_table(spark, str(path)).count() == 3
 

@@ -130,6 +130,14 @@ def emar(t: Tables) -> DataFrame:
     )
 
 
+def emar_lines(t: Tables) -> DataFrame:
+    """An administration per order line: ids repeat, only id and number together are a key. The supplier stands for the patient."""
+    return t.lineitem.select(
+        F.col("l_orderkey").alias("emar_id"), F.col("l_linenumber").alias("emar_seq"),
+        F.col("l_suppkey").alias("subject_id"), _date("l_shipdate").alias("charttime"),
+    )
+
+
 def emar_detail(t: Tables) -> DataFrame:
     drugs = t.part.select(
         F.col("p_partkey").alias("drug"),

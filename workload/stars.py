@@ -447,14 +447,15 @@ def fact_procedure(t: Tables) -> DataFrame:
 # Medication star
 
 
-def _medication(t: Tables, fill_route: bool) -> DataFrame:
+def _medication(t: Tables, administrations: DataFrame, on: list[str], fill_route: bool = True) -> DataFrame:
     detail = s.emar_detail(t)
-    bounds = t.orders.agg(F.min("o_orderdate").alias("start"), F.max("o_orderdate").alias("end"))
+    day = F.col("charttime").cast("date")
+    bounds = administrations.agg(F.min(day).alias("start"), F.max(day).alias("end"))
     patient, drug, date = written(
         dims.subject_dim(s.patients(t)), dims.medication_dim(detail), calendars.range_calendar(bounds, "start", "end")
     )
     fact = facts.fact_medication_administration(
-        detail, s.emar(t), patient, drug, date, on=["emar_id"], fill_route=fill_route
+        detail, administrations, patient, drug, date, on=on, fill_route=fill_route
     )
     rows = star_join(
         fact,
@@ -478,13 +479,33 @@ FROM emar_detail LEFT JOIN orders ON emar_id = o_orderkey
 @query(_MEDICATION_SQL.format(found="product_unit IS NOT NULL"))
 def fact_medication(t: Tables) -> DataFrame:
     """Administrations with patient, drug and date; a missing route counts as unknown, a missing unit finds no drug."""
-    return _medication(t, fill_route=True)
+    return _medication(t, s.emar(t), ["emar_id"])
 
 
 @query(_MEDICATION_SQL.format(found="product_unit IS NOT NULL AND route IS NOT NULL"))
 def fact_medication_raw_route(t: Tables) -> DataFrame:
     """The same where a missing route finds no drug."""
-    return _medication(t, fill_route=False)
+    return _medication(t, s.emar(t), ["emar_id"], fill_route=False)
+
+
+_MEDICATION_LINES_SQL = f"""{with_tables("emar_detail")}
+SELECT emar_id, emar_seq, c_custkey AS subject_id, CAST(strftime(CAST(l_shipdate AS DATE), '%Y%m%d') AS INTEGER) AS date_sk,
+  dose_given, administration_type AS status, CASE WHEN product_unit IS NOT NULL THEN product_description END AS drug_name,
+  CASE WHEN product_unit IS NOT NULL THEN coalesce(route, 'unknown') END AS route, product_unit AS form
+FROM emar_detail LEFT JOIN lineitem ON {{on}} LEFT JOIN customer ON c_custkey = l_suppkey
+"""
+
+
+@query(_MEDICATION_LINES_SQL.format(on="emar_id = l_orderkey AND emar_seq = l_linenumber"))
+def fact_medication_two_keys(t: Tables) -> DataFrame:
+    """Details that meet their administration on id and number, the keys of a refresh."""
+    return _medication(t, s.emar_lines(t), ["emar_id", "emar_seq"])
+
+
+@query(_MEDICATION_LINES_SQL.format(on="emar_id = l_orderkey"))
+def fact_medication_fanout(t: Tables) -> DataFrame:
+    """The same on the id alone, which repeats: every detail meets each administration of its id."""
+    return _medication(t, s.emar_lines(t), ["emar_id"])
 
 
 # Features and scores
@@ -539,13 +560,67 @@ def feature_scaled(t: Tables) -> DataFrame:
     return scaled.select("subject_id", *[F.round(c, 6).alias(c) for c in _FEATURES])
 
 
-@query(None)
+@query("""
+WITH sizes AS (
+  SELECT l_orderkey, CAST(sum(CAST(l_quantity AS DECIMAL(18,2))) AS DOUBLE) AS quantity, CAST(count(*) AS DOUBLE) AS lines
+  FROM lineitem GROUP BY 1),
+scores AS (
+  SELECT l_orderkey, (quantity - avg(quantity) OVER ()) / stddev_samp(quantity) OVER () AS a,
+    (lines - avg(lines) OVER ()) / stddev_samp(lines) OVER () AS b FROM sizes)
+SELECT l_orderkey, round(abs(a + b) / sqrt(2), 4) AS pc1, round(abs(a - b) / sqrt(2), 4) AS pc2 FROM scores
+""")
+def ml_projection(t: Tables) -> DataFrame:
+    """Two correlated columns on their principal components, which are the diagonals; without the sign, which is arbitrary."""
+    quantity = F.sum(F.col("l_quantity").cast(s.CENTS)).cast("double")
+    rows = staged(t.lineitem.groupBy("l_orderkey").agg(quantity.alias("quantity"), F.count("*").cast("double").alias("lines")))
+    placed = scoring.assign_clusters(scoring.fit_clusters(rows, ["quantity", "lines"]), rows)
+    return placed.select("l_orderkey", *[F.round(F.abs(c), 4).alias(c) for c in ("pc1", "pc2")])
+
+
+@query("SELECT o_orderkey, CAST(o_orderkey % 3 AS INTEGER) AS cluster FROM orders")
+def ml_clusters(t: Tables) -> DataFrame:
+    """Three clouds far apart, their clusters numbered by the first coordinate of their centres."""
+    cloud = F.col("o_orderkey") % 3
+    x, y = cloud * 100 + F.col("o_custkey") % 7, cloud * cloud * 50 + F.col("o_orderkey") % 5
+    rows = staged(t.orders.select("o_orderkey", x.cast("double").alias("x"), y.cast("double").alias("y")))
+    model = scoring.fit_clusters(rows, ["x", "y"])
+    centres = [float(c[0]) for c in model.stages[2].clusterCenters()]
+    number = F.array(*[F.lit(sorted(centres).index(c)) for c in centres])
+    placed = scoring.assign_clusters(model, rows)
+    return placed.select("o_orderkey", F.element_at(number, F.col("cluster") + 1).alias("cluster"))
+
+
+@query("""
+SELECT o_orderkey, CAST(o_orderstatus = 'F' AS INTEGER) AS death, CAST(o_orderstatus = 'F' AS DOUBLE) AS death_probability FROM orders
+""")
+def ml_risk(t: Tables) -> DataFrame:
+    """A label that one feature separates: class and probability are the label."""
+    died = (F.col("o_orderstatus") == "F").cast("double")
+    rows = t.orders.select(
+        "o_orderkey", died.alias("died"), (died * 4 + F.col("o_orderkey") % 3).alias("x"), (F.col("o_custkey") % 10).cast("double").alias("y")
+    )
+    rows = staged(rows)
+    scored = scoring.score_risk(scoring.fit_risk(rows, ["x", "y"], "died"), rows)
+    return scored.select("o_orderkey", "death", F.round("death_probability", 6).alias("death_probability"))
+
+
+@query("SELECT c_custkey AS subject_id, TRUE AS in_nearest_cluster, TRUE AS is_probability, TRUE AS class_follows FROM customer")
 def ml_scores(t: Tables) -> DataFrame:
-    """Cluster, position on two principal components and risk of death for every patient."""
+    """Facts that must hold of every patient's cluster and risk; patients without an admission are scored but not learned from."""
     died = s.admissions(t).groupBy("subject_id").agg(F.max("hospital_expire_flag").cast("double").alias("died"))
     # Written first, as fitting reads it many times.
-    rows = staged(feature_rows(t).join(died, "subject_id", "left").fillna(0.0, ["died"]))
+    rows = staged(feature_rows(t).join(died, "subject_id", "left"))
     clusters = scoring.fit_clusters(rows, _FEATURES)
-    risk = scoring.fit_risk(rows, _FEATURES, "died")
+    risk = scoring.fit_risk(rows.dropna(subset=["died"]), _FEATURES, "died")
     scored = scoring.score_risk(risk, scoring.assign_clusters(clusters, rows))
-    return scored.select("subject_id", "cluster", "pc1", "pc2", "death", "death_probability")
+    scaled = scoring.scale(scoring.fit_scaler(rows, _FEATURES), scored, _FEATURES)
+    away = [
+        sum((F.col(f"`{name}`") - float(x)) ** 2 for name, x in zip(_FEATURES, centre, strict=True))
+        for centre in clusters.stages[2].clusterCenters()
+    ]
+    return scaled.select(
+        "subject_id",
+        (F.element_at(F.array(*away), F.col("cluster") + 1) <= F.least(*away) + 1e-6).alias("in_nearest_cluster"),
+        F.col("death_probability").between(0, 1).alias("is_probability"),
+        ((F.col("death") == 1) == (F.col("death_probability") > 0.5)).alias("class_follows"),
+    )
