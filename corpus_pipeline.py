@@ -51,7 +51,7 @@ STAGES = [
     ("packing", pack),
 ]
 
-# The stages learn, decode and search; SQL has no words for that. tests/llm/test_pipeline.py holds them against brute force.
+# The stages learn, decode and search; SQL has no words for that. tests/llm/test_operators.py tests them and the stages.
 ORACLE_SQL = None
 
 
