@@ -52,7 +52,9 @@ def least_in_window(values: np.ndarray, width: int) -> np.ndarray:
 def runs(data: np.ndarray, length: int = LENGTH, gram: int = GRAM) -> Iterator[tuple[np.ndarray, ...]]:
     """Runs of the suffixes of a text: first and last start, their sample, its rank, rank of the whole run."""
     for at in range(0, len(data) - length + 1, STEP):
-        part = data[at : at + STEP + length - 1]
+        # A step has the runs that start in it, as a whole: it sees one suffix before them and the longest run beyond them.
+        before = min(at, 1)
+        part = data[at - before : at + STEP + 2 * length]
         prefix = prefix_hash(part)
         place = np.arange(len(part) - gram + 1)
         rank = range_hash(prefix, place, place + gram)
@@ -61,9 +63,12 @@ def runs(data: np.ndarray, length: int = LENGTH, gram: int = GRAM) -> Iterator[t
         sample = (least & np.uint64(0xFFFFFFFF)).astype(np.int64)
         first = np.flatnonzero(np.diff(sample, prepend=-1))
         last = np.append(first[1:] - 1, len(sample) - 1)
+        own = (first >= before) & (first < before + STEP)
+        first, last = first[own], last[own]
         # The offset of the sample belongs to the whole: equal bytes around another sample are another run.
         whole = range_hash(prefix, first, last + length) + (sample[first] - first).astype(np.uint64)
-        yield first + at, last + at, sample[first] + at, rank[sample[first]], whole
+        offset = at - before
+        yield first + offset, last + offset, sample[first] + offset, rank[sample[first]], whole
 
 
 def _texts(documents: DataFrame) -> DataFrame:

@@ -159,6 +159,21 @@ def test_repeats(docs, rows):
     assert _collected(repeats.remove_repeats(docs)) == sorted(expected, key=repr)
 
 
+def test_runs_do_not_end_at_steps(spark, monkeypatch):
+    text = np.random.default_rng(9).integers(97, 123, repeats.STEP + 3_000, dtype=np.uint8).tobytes().decode()
+    data = np.frombuffer(text[:5_000].encode(), dtype=np.uint8)
+    whole = [np.concatenate(c) for c in zip(*repeats.runs(data), strict=True)]
+    for step in (1, 7, 399, 1_000, 4_601):
+        monkeypatch.setattr(repeats, "STEP", step)
+        assert all((a == b).all() for a, b in zip(whole, (np.concatenate(c) for c in zip(*repeats.runs(data), strict=True)), strict=True))
+    monkeypatch.undo()
+    # Nothing repeats but the passage that crosses the border of a step.
+    at = repeats.STEP - 500
+    df = spark.createDataFrame([(1, text), (2, "0" + text[at : at + 1_000] + "1"), (3, text[::-1])], "doc_id long, text string")
+    found = {r["doc_id"]: (r["n_removed"], r["n_spans"]) for r in repeats.remove_repeats(df).collect()}
+    assert found == {1: (1_000, 1), 2: (1_000, 1), 3: (0, 0)}
+
+
 FORMATS = {
     "email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)",
     "card": r"[0-9]([\x20-]?[0-9])+", "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
