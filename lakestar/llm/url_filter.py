@@ -52,8 +52,8 @@ def judge(pages: DataFrame, rules: DataFrame) -> DataFrame:
         F.sort_array(F.collect_set(F.size(F.split("host", r"\.")))).alias("labels"),
         F.sort_array(F.collect_set(F.length("path") - F.length(F.replace("path", F.lit("/"))))).alias("slashes"),
     ).first()
-    urls = count_copies(pages.select("page_id", "url"))
-    urls = urls.select("page_id", "copies", F.coalesce(_host(F.col("url")), F.lit("")).alias("host"), F.coalesce(_path(F.col("url")), F.lit("")).alias("path"))
+    # Rows are copies if they agree in what the result shows of them: URLs of one page that differ elsewhere are counted together.
+    urls = count_copies(pages.select("page_id", F.coalesce(_host(F.col("url")), F.lit("")).alias("host"), F.coalesce(_path(F.col("url")), F.lit("")).alias("path")))
     if not shape["labels"]:
         rules = pages.sparkSession.createDataFrame([], "host string, path string, verdict string")
     n_labels = F.size(F.split("host", r"\."))

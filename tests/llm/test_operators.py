@@ -277,6 +277,13 @@ def test_url_rules(spark):
     assert none.where("rule is null and verdict = 'allow'").count() == len(expected)
 
 
+def test_urls_that_differ_in_scheme_query_or_fragment_all_stay(spark):
+    urls = [(1, "http://b.net/es/x?1"), (1, "http://b.net/es/x?2"), (1, "ftp://B.net/es/x#3"), (None, "http://b.net/es/x"), (None, "http://b.net/es/x?1"), (None, None), (None, ""), (2, "http://b.net/es/x")]
+    found = url_filter.judge(spark.createDataFrame(urls, "page_id long, url string"), spark.createDataFrame(RULES, "host string, path string, verdict string"))
+    fits = [(i, "b.net", "/es/x", "net/es/", "block") for i in (1, 1, 1, None, None, 2)]
+    assert _collected(found) == sorted([*fits, *[(None, "", "", None, "allow")] * 2], key=repr)
+
+
 def test_neighbours_reach_their_recall(spark):
     given = spark.read.parquet("/root/testdata/sf0.01/embeddings.parquet").select("vec_id", "embedding", F.lit(1).alias("leaf"))
     odd = [(-1, None), (-2, [0.0] * 64), (-3, [float("nan")] * 64), (-4, [1.0] * 63), (-5, [None] * 64), (-6, [])]
