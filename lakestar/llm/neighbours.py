@@ -102,12 +102,13 @@ def fit_tree(x: np.ndarray) -> Tree:
 
 
 def usable(vectors: DataFrame) -> DataFrame:
-    """(vec_id, vector): the rows that take part, as doubles."""
+    """(vec_id, vector): the rows that take part, as doubles, each once."""
     vector = F.col("embedding").cast("array<double>")
     sound = F.forall(vector, lambda v: v.isNotNull() & ~F.isnan(v) & (F.abs(v) < float("inf"))) & F.exists(vector, lambda v: v != 0)
     rows = vectors.where("vec_id is not null").select(F.col("vec_id").cast("long").alias("vec_id"), vector.alias("vector")).where(F.coalesce(sound, F.lit(False)))
     lengths = rows.groupBy(F.size("vector").alias("n")).count().orderBy(F.desc("count"), "n").first()
-    return rows.where(F.size("vector") == (lengths["n"] if lengths else 0))
+    # Repeats are merged before the shuffle.
+    return rows.where(F.size("vector") == (lengths["n"] if lengths else 0)).distinct()
 
 
 def _exact(queries: np.ndarray, rows: np.ndarray) -> np.ndarray:
@@ -119,17 +120,20 @@ def _exact(queries: np.ndarray, rows: np.ndarray) -> np.ndarray:
 
 
 def _top(ids: np.ndarray, scores: np.ndarray, own: int, k: int) -> np.ndarray:
-    """Places of the ``k`` best of one query, ties to the smaller id."""
+    """Places of the ``k`` best of one query, ties to the smaller id. Of an id that repeats with one score one place counts."""
     scores = np.where(ids == own, -np.inf, scores)
-    if len(scores) > 4 * k:
-        bound = np.partition(scores, -k - 1)[-k - 1]
-        near = np.flatnonzero(scores >= bound)
-    else:
-        near = np.arange(len(scores))
-    near = near[np.lexsort((ids[near], -scores[near]))]
-    # Only the least id counts of any that repeats, and a block is sorted enough by then to see it.
-    near = near[np.append(True, (ids[near][1:] != ids[near][:-1]))] if len(near) else near
-    return near[scores[near] > -np.inf][:k]
+    wanted = k + 1
+    while True:
+        whole = len(scores) <= 4 * wanted
+        near = np.arange(len(scores)) if whole else np.flatnonzero(scores >= np.partition(scores, -wanted)[-wanted])
+        near = near[np.lexsort((ids[near], -scores[near]))]
+        again = (ids[near][1:] == ids[near][:-1]) & (scores[near][1:] == scores[near][:-1])
+        near = near[np.append(True, ~again)] if len(near) else near
+        near = near[scores[near] > -np.inf]
+        if whole or len(near) >= k:
+            return near[:k]
+        # Repeats have taken the room of others.
+        wanted *= 4
 
 
 def _stack(column: pd.Series) -> np.ndarray:
@@ -161,11 +165,12 @@ def calibrate(tree: Tree, indexed: DataFrame, queries: DataFrame, k: int) -> int
                 yield pd.DataFrame({"q": q, "vec_id": ids[near], "leaf": leaf[near], "score": scores[q][near]})
 
     best = indexed.mapInPandas(search, "q int, vec_id long, leaf long, score double")
+    best = best.groupBy("q", "vec_id", "score").agg(F.collect_set("leaf").alias("leaves"))
     rank = F.row_number().over(Window.partitionBy("q").orderBy(F.desc("score"), "vec_id"))
     # k rows for each of the bounded number of queries.
-    true = best.withColumn("rank", rank).where(F.col("rank") <= k).select("q", "leaf").toPandas()
+    true = best.withColumn("rank", rank).where(F.col("rank") <= k).select("q", "leaves").toPandas()
     order = {q: {leaf: i for i, leaf in enumerate(tree.best_bins(x[q], tree.n_leaves))} for q in true["q"].unique()}
-    depth = np.sort([order[q][leaf] for q, leaf in zip(true["q"], true["leaf"], strict=True)])
+    depth = np.sort([min(order[q][leaf] for leaf in leaves) for q, leaves in zip(true["q"], true["leaves"], strict=True)])
     return int(depth[min(len(depth) - 1, int(np.ceil(WANTED_RECALL * len(depth))))]) + 1 if len(depth) else 1
 
 

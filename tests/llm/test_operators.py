@@ -311,6 +311,21 @@ def test_equal_vectors_tie_to_the_smaller_id(spark):
     assert found == [1, 2, 3, 4, 5]
 
 
+def test_repeated_vectors_push_none_out(spark):
+    x = np.random.default_rng(7).standard_normal((400, 8))
+    rows = [(i, v.tolist()) for i, v in enumerate(x)]
+    found = neighbours.search(spark.createDataFrame(rows * 3, "vec_id long, embedding array<double>"), F.col("vec_id") % 20 == 0).collect()
+    assert len({(r["query_id"], r["vec_id"]) for r in found}) == len(found) == 20 * 20
+    hits = 0
+    for q in range(0, 400, 20):
+        scores = np.where(np.arange(400) == q, -np.inf, x @ x[q])
+        hits += len(set(np.argsort(-scores)[:20].tolist()) & {r["vec_id"] for r in found if r["query_id"] == q})
+    assert hits >= 0.9 * len(found)
+    # Other vectors of one id with equal scores are repeats as well.
+    ids, scores = np.repeat(np.arange(100), 30), np.repeat(np.arange(100.0), 30)
+    assert ids[neighbours._top(ids, scores, -1, 20)].tolist() == list(range(99, 79, -1))
+
+
 def test_pipeline_stages(spark, tokenizer):
     import corpus_pipeline
 
