@@ -86,12 +86,28 @@ def language_model(documents: DataFrame) -> np.ndarray:
     return np.log(p).astype(np.float32)
 
 
+# Readings of spellings up to this length are kept for the next time.
+KEPT = 40
+
+
+def _spelled(read: tuple) -> str:
+    out = []
+    while read:
+        read, sign = read
+        out.append(sign)
+    return "".join(reversed(out))
+
+
 class Decoder:
     """Viterbi decoding of disguised spellings under a language model."""
 
     def __init__(self, model: np.ndarray) -> None:
         self._model = model
-        self.word = lru_cache(maxsize=100_000)(self._word)
+        self._cached = lru_cache(maxsize=100_000)(self._word)
+
+    def word(self, text: str) -> str:
+        """The likeliest reading of one spelling of any length, lower-cased. Only short ones come again and are kept."""
+        return self._cached(text) if len(text) <= KEPT else self._word(text)
 
     def _readings(self, text: str, i: int) -> list[tuple[str, float]]:
         c = text[i]
@@ -104,22 +120,26 @@ class Decoder:
         return [(c, _SIGN_SELF), *((x, _SIGN) for x in IMITATES[c])]
 
     def _word(self, text: str) -> str:
-        """The likeliest reading of one spelling, lower-cased."""
-        text = text.lower()
-        paths: dict[tuple[int, int, int], tuple[float, str]] = {(_REST, _REST, _REST): (0.0, "")}
+        text, done = text.lower(), []
+        # Paths are chains (earlier, sign), so that a step costs the same however long the text; what all paths share is done.
+        paths: dict[tuple[int, int, int], tuple[float, tuple]] = {(_REST, _REST, _REST): (0.0, ())}
         for i in range(len(text) + 1):
-            after: dict[tuple[int, int, int], tuple[float, str]] = {}
+            after: dict[tuple[int, int, int], tuple[float, tuple]] = {}
             for state, (score, read) in paths.items():
                 for out, channel in self._readings(text, i) if i < len(text) else [(" ", 0.0)]:
-                    new, total = state, score + channel
+                    new, total, longer = state, score + channel, read
                     if out:
                         s = ord(out) - 97 if "a" <= out <= "z" else _OTHER_LETTER if ord(out) >= 0xC0 else _REST
                         total += float(self._model[(*state, s)])
-                        new = (*state[1:], s)
+                        new, longer = (*state[1:], s), (read, out)
                     if new not in after or after[new][0] < total:
-                        after[new] = (total, read + out)
+                        after[new] = (total, longer)
             paths = after
-        return max(paths.values())[1][:-1]
+            if len(paths) == 1:
+                ((state, (score, read)),) = paths.items()
+                done.append(_spelled(read))
+                paths = {state: (score, ())}
+        return "".join([*done, _spelled(max(paths.values(), key=lambda p: p[0])[1])])[:-1]
 
     def restore(self, text: str) -> str:
         """The text with every disguised spelling replaced by its likeliest reading."""
@@ -130,16 +150,12 @@ class Decoder:
         return text
 
     def _joined(self, spaced: str) -> str:
-        letters = spaced[::2]
-        return self.word(letters) if len(letters) <= LONGEST else letters
+        return self.word(spaced[::2])
 
     def _token(self, token: str) -> str:
-        # Longer ones are data, not words; they stand for themselves.
-        return self.word(token) if len(token) <= LONGEST else token
+        return self.word(token)
 
 
-# Spellings of more characters are no words of any language.
-LONGEST = 40
 # Beginnings of words that are features beside the words themselves.
 BEGINNINGS = (4, 5, 6)
 

@@ -227,6 +227,21 @@ def test_toxicity_restores_and_scores(spark):
     assert min(score[2000], score[2001], score[1000]) > 0.7 > 0.3 > max(score[2002], score[2003], score[0])
 
 
+def _toxic_scores(spark, asked):
+    clean = [f"the weather on day {i % 7} is mild and calm near the station" for i in range(200)]
+    toxic = [f"you are a worthless moron on day {i % 7} near the station" for i in range(60)]
+    df = spark.createDataFrame(list(enumerate([*clean, *toxic, *asked])), "doc_id long, text string")
+    labels = spark.createDataFrame([(i, int(i >= 200)) for i in range(260)], "doc_id long, label int")
+    score = {r["doc_id"]: r["score"] for r in toxicity.score_toxicity(df, labels).collect()}
+    return {text: score[260 + i] for i, text in enumerate(asked)}
+
+
+def test_long_spellings_are_decoded(spark):
+    long = ["m" + "o" * 50 + "ron", "a w" + "0" + "rthl" + "e" * 200_000 + "ss day", "-".join(["st4tion"] * 8 + ["m0ron"])]
+    found = _toxic_scores(spark, [*long, "c" + "a" * 50 + "lm"])
+    assert [found[x] > 0.7 for x in found] == [True, True, True, False]
+
+
 def test_scores_cover_edge_rows(spark, docs, rows):
     labels = spark.createDataFrame([(1, 1), (5, 0), (None, 1), (8, None)], "doc_id long, label int")
     for scored in (toxicity.score_toxicity(docs, labels), quality.score_quality(docs, labels), quality.score_quality(docs, labels.limit(0))):
