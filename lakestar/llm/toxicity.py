@@ -2,10 +2,11 @@
 
 1. A character language model, four characters deep, is counted over all documents: letters a-z, one sign for other letters and
    one for everything else, so it has 28 ** 4 counts whatever the corpus.
-2. Disguised spellings are found by pattern (signs between letters, letters spaced out, letters said three times or more),
+2. Disguised spellings are found by pattern (signs beside letters, letters spaced out, letters said three times or more),
    and each is a lattice: every character can stand for itself or for what it imitates, a repeated one can be dropped.
    Viterbi's algorithm picks the reading that language model and channel together find likeliest. All other characters
-   have one reading, so the rest of the text is its own decoding.
+   have one reading, so the rest of the text is its own decoding. A second lattice lets a word border come before any
+   character, as spaced and glued spellings show none; where its reading differs, both count.
 3. The restored text is scored by its words and their beginnings: each has the smoothed share of toxic documents among
    the labelled ones that hold it; the largest share of any is turned into a probability by the labelled documents.
 
@@ -40,10 +41,16 @@ IMITATES = {
 # Log probabilities of the channel: a sign for a letter, a sign as itself, a letter as itself, a repeated letter dropped or kept.
 _SIGN, _SIGN_SELF, _SELF, _DROP, _KEEP = -1.0, -2.5, 0.0, -0.1, -1.5
 
-_DISGUISED = re.compile(r"(?<!\S)[^\s\w]*\w*(?:[0-9@$!|+*#(€£¡]+(?=[^\W\d_])|([^\W\d_])\1\1)\S*")
-_HINT = re.compile(r"[0-9@$!|+*#(€£¡][^\W\d_]|([^\W\d_])\1\1")
-_SPACED = re.compile(r"(?<![^\W_])[^\W_](?:([ .\-_*])[^\W_@$!|])(?:\1[^\W_@$!|]){2,}(?![^\W_])|(?<![^\W_])[^\W\d_](?:\1[^\W\d_]){3,}(?![^\W_])")
-_SPACED_HINT = re.compile(r"(?<![^\W_])\w[ .\-_*][\w@$!|][ .\-_*][\w@$!|][ .\-_*]")
+# Log probability of a word border between two characters of a disguised spelling that shows none.
+_BORDER = -2.0
+
+_SIGNS, _LETTER = r"0-9@$!|+*#(€£¡", r"[^\W\d_]"
+# Word characters and signs in a row, with a sign beside a letter, or a letter three times.
+_DISGUISED = re.compile(rf"(?<![\w{_SIGNS}])[\w{_SIGNS}]*?(?:[{_SIGNS}](?={_LETTER})|{_LETTER}[{_SIGNS}]|({_LETTER})\1\1)[\w{_SIGNS}]*")
+_HINT = re.compile(rf"[{_SIGNS}]{_LETTER}|{_LETTER}[{_SIGNS}]|({_LETTER})\1\1")
+# Three or more single characters with the same separator between them, of which any can be a sign.
+_ONE = rf"(?:[^\W_]|[{_SIGNS}])"
+_SPACED = re.compile(rf"(?<![^\W_]){_ONE}([^\S\r\n]+|[.\-_*/]){_ONE}(?:\1{_ONE})+(?![^\W_])")
 _WORD = re.compile(r"[^\W\d_]+")
 
 SYMBOLS = 28
@@ -106,9 +113,15 @@ class Decoder:
         self._cached = lru_cache(maxsize=100_000)(self._word)
 
     def word(self, text: str) -> str:
-        """The likeliest reading of one spelling of any length, lower-cased. Only short ones come again and are kept."""
+        """The likeliest reading of one spelling of any length, lower-cased, and that with word borders if it is another.
+        Only short ones come again and are kept."""
         return self._cached(text) if len(text) <= KEPT else self._word(text)
 
+    def _word(self, text: str) -> str:
+        text = text.lower()
+        plain, split = self._likeliest(text, False), self._likeliest(text, True)
+        return plain if plain == split else f"{plain} {split}"
+
     def _readings(self, text: str, i: int) -> list[tuple[str, float]]:
         c = text[i]
         if c.isalpha():
@@ -119,19 +132,22 @@ class Decoder:
             return [(c, _SELF)]
         return [(c, _SIGN_SELF), *((x, _SIGN) for x in IMITATES[c])]
 
-    def _word(self, text: str) -> str:
-        text, done = text.lower(), []
+    def _likeliest(self, text: str, borders: bool) -> str:
+        done = []
         # Paths are chains (earlier, sign), so that a step costs the same however long the text; what all paths share is done.
         paths: dict[tuple[int, int, int], tuple[float, tuple]] = {(_REST, _REST, _REST): (0.0, ())}
         for i in range(len(text) + 1):
             after: dict[tuple[int, int, int], tuple[float, tuple]] = {}
+            readings = self._readings(text, i) if i < len(text) else [(" ", 0.0)]
+            if borders and 0 < i < len(text):
+                readings += [(f" {out}", channel + _BORDER) for out, channel in readings if out.isalpha()]
             for state, (score, read) in paths.items():
-                for out, channel in self._readings(text, i) if i < len(text) else [(" ", 0.0)]:
+                for out, channel in readings:
                     new, total, longer = state, score + channel, read
-                    if out:
-                        s = ord(out) - 97 if "a" <= out <= "z" else _OTHER_LETTER if ord(out) >= 0xC0 else _REST
-                        total += float(self._model[(*state, s)])
-                        new, longer = (*state[1:], s), (read, out)
+                    for sign in out:
+                        s = ord(sign) - 97 if "a" <= sign <= "z" else _OTHER_LETTER if ord(sign) >= 0xC0 else _REST
+                        total += float(self._model[(*new, s)])
+                        new, longer = (*new[1:], s), (longer, sign)
                     if new not in after or after[new][0] < total:
                         after[new] = (total, longer)
             paths = after
@@ -143,18 +159,11 @@ class Decoder:
 
     def restore(self, text: str) -> str:
         """The text with every disguised spelling replaced by its likeliest reading."""
-        if _SPACED_HINT.search(text):
-            text = _SPACED.sub(lambda m: self._joined(m[0]), text)
+        text = _SPACED.sub(lambda m: self.word(m[0][:: 1 + len(m[1])]), text)
         if _HINT.search(text):
-            text = _DISGUISED.sub(lambda m: self._token(m[0]), text)
+            text = _DISGUISED.sub(lambda m: self.word(m[0]), text)
         return text
 
-    def _joined(self, spaced: str) -> str:
-        return self.word(spaced[::2])
-
-    def _token(self, token: str) -> str:
-        return self.word(token)
-
 
 # Beginnings of words that are features beside the words themselves.
 BEGINNINGS = (4, 5, 6)

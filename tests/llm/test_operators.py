@@ -242,6 +242,16 @@ def test_long_spellings_are_decoded(spark):
     assert [found[x] > 0.7 for x in found] == [True, True, True, False]
 
 
+def test_disguises_alone_and_combined(spark):
+    asked = [
+        "m 0 r o n", "m.o.r.o.n", "m/o/r/o/n", "m  o  r  o  n", "m_0_r_0_n", "w o r t h l e $ $", "such,m0ron", "calm:m0ron", "non-m0ron", "day/m0r0n", "w0rthles5",
+        "m o r o n / d a y", "w o r t h l e s s m o r o n", "w.0.r.t.h.l.e.s.5.m.0.r.0.n", "calmw0rthl3ssm0r0n", "mooor0n", "m o o o o r 0 n", "is m 0 r o n calm",
+    ]
+    plain = ["the weather is mild!", "d a y", "st4tion", "c a l m", "m.i.l.d", "day 1 2 3 4 5", "near the w3ather/station2"]
+    found = _toxic_scores(spark, [*asked, *plain])
+    assert [x for x in asked if found[x] <= 0.7] == [] == [x for x in plain if found[x] >= 0.7]
+
+
 def test_scores_cover_edge_rows(spark, docs, rows):
     labels = spark.createDataFrame([(1, 1), (5, 0), (None, 1), (8, None)], "doc_id long, label int")
     for scored in (toxicity.score_toxicity(docs, labels), quality.score_quality(docs, labels), quality.score_quality(docs, labels.limit(0))):
