@@ -97,6 +97,14 @@ def language_model(documents: DataFrame) -> np.ndarray:
 KEPT = 40
 
 
+_START = _REST * (SYMBOLS**2 + SYMBOLS + 1)
+
+
+@lru_cache(maxsize=10_000)
+def _symbol(sign: str) -> int:
+    return ord(sign) - 97 if "a" <= sign <= "z" else _OTHER_LETTER if ord(sign) >= 0xC0 else _REST
+
+
 def _spelled(read: tuple) -> str:
     out = []
     while read:
@@ -109,7 +117,7 @@ class Decoder:
     """Viterbi decoding of disguised spellings under a language model."""
 
     def __init__(self, model: np.ndarray) -> None:
-        self._model = model
+        self._model = model.ravel().tolist()
         self._cached = lru_cache(maxsize=100_000)(self._word)
 
     def word(self, text: str) -> str:
@@ -133,23 +141,25 @@ class Decoder:
         return [(c, _SIGN_SELF), *((x, _SIGN) for x in IMITATES[c])]
 
     def _likeliest(self, text: str, borders: bool) -> str:
-        done = []
-        # Paths are chains (earlier, sign), so that a step costs the same however long the text; what all paths share is done.
-        paths: dict[tuple[int, int, int], tuple[float, tuple]] = {(_REST, _REST, _REST): (0.0, ())}
+        model, done = self._model, []
+        # Paths by their last three symbols as one number. They are chains (earlier, signs), so that a step costs the same however
+        # long the text; what all paths share is done.
+        paths: dict[int, tuple[float, tuple]] = {_START: (0.0, ())}
         for i in range(len(text) + 1):
-            after: dict[tuple[int, int, int], tuple[float, tuple]] = {}
+            after: dict[int, tuple[float, tuple]] = {}
             readings = self._readings(text, i) if i < len(text) else [(" ", 0.0)]
             if borders and 0 < i < len(text):
                 readings += [(f" {out}", channel + _BORDER) for out, channel in readings if out.isalpha()]
+            coded = [(out, channel, [_symbol(sign) for sign in out]) for out, channel in readings]
             for state, (score, read) in paths.items():
-                for out, channel in readings:
-                    new, total, longer = state, score + channel, read
-                    for sign in out:
-                        s = ord(sign) - 97 if "a" <= sign <= "z" else _OTHER_LETTER if ord(sign) >= 0xC0 else _REST
-                        total += float(self._model[(*new, s)])
-                        new, longer = (*new[1:], s), (longer, sign)
+                for out, channel, signs in coded:
+                    new, total = state, score + channel
+                    for s in signs:
+                        at = new * SYMBOLS + s
+                        total += model[at]
+                        new = at % SYMBOLS**3
                     if new not in after or after[new][0] < total:
-                        after[new] = (total, longer)
+                        after[new] = (total, (read, out) if out else read)
             paths = after
             if len(paths) == 1:
                 ((state, (score, read)),) = paths.items()
