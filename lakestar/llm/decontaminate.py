@@ -4,24 +4,27 @@
    and the rest loses case and outer punctuation. ``WINDOW`` such words in a row are a template window.
 2. Windows of the benchmark and of the documents are hash-joined. Only windows with ``LITERALS`` words that are no placeholders
    count, as a row of placeholders says nothing.
-3. Along one alignment of an item with a document, slots must be filled consistently: one value of the item answers to one
-   value of the document throughout, and the other way round. A document is contaminated by an item if windows of
-   consistent alignments make up ``SHARE`` of the item's windows.
-
-Defined results: NULL and empty texts are clean; items with fewer than ``WINDOW`` words, or with no window that counts, match
-nothing; items of equal text are found as the least item_id; rows of one doc_id and text are judged alike and stay repeated; empty tables are
+   A capitalised word that opens a sentence is both a literal and a name: each of its windows comes in both forms.
+3. Along one alignment of an item with a document, names and units must be filled consistently: one value of the item answers to
+   one value of the document in most of its places, and the other way round. Windows with other fillings don't count; numbers
+   are free. A document is contaminated by an item if the windows left make up ``SHARE`` of the item's windows.
+
+Defined results: NULL and empty texts, and items without words, are clean and match nothing; items with no window that counts
+(fewer than ``WINDOW`` words, or too many placeholders) are found by the hash of all their words, with share 1; items of equal text are one
+item with the least item_id, which may be NULL; different texts of one item_id are different items; rows of one doc_id and text are judged alike and stay repeated; empty tables are
 allowed; other columns are not read.
 """
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from lakestar.llm.common import BASE, LOWER, bytes_of, mix, prefix_hash, range_hash, staged, word_bounds
+from lakestar.llm.common import BASE, LOWER, bytes_of, mix, powers, prefix_hash, range_hash, staged, word_bounds
 
 WINDOW, LITERALS, SHARE = 5, 3, 0.8
 # Hashes of benchmark windows that a task looks up at once (8 bytes each); a larger benchmark takes several passes.
@@ -44,6 +47,7 @@ _WORDY[128:] = True
 _STOP = np.zeros(256, dtype=bool)
 _STOP[np.frombuffer(b".!?:", dtype=np.uint8)] = True
 _NUMBER, _NAME, _UNIT = np.uint64(1), np.uint64(2), np.uint64(3)
+_WHOLE = np.uint64(0xD6E8FEB86659FD93)
 
 
 def _hash_words(words: list[str]) -> np.ndarray:
@@ -61,9 +65,9 @@ def _within(sorted_values: np.ndarray, x: np.ndarray) -> np.ndarray:
     return sorted_values[at] == x
 
 
-def canonical(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Template and value of each word: equal for a literal, a small number and the word's hash for a placeholder. Words
-    without letters or digits are left out."""
+def canonical(data: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Template and value of each word: equal for a literal, a small number and the word's hash for a placeholder; and whether
+    a literal opens a sentence like a name. Words without letters or digits are left out."""
     start, end = word_bounds(data)
     wordy = _WORDY[data]
     count = np.concatenate([[0], np.cumsum(wordy)])
@@ -74,7 +78,7 @@ def canonical(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     start, end, opens = start[some], end[some], opens[some]
     if not len(start):
         none = np.empty(0, dtype=np.uint64)
-        return none, none
+        return none, none, none.astype(bool)
     place = np.flatnonzero(wordy)
     start, end = place[count[start]], place[count[end] - 1] + 1
     value = range_hash(prefix_hash(LOWER[data]), start, end)
@@ -85,50 +89,105 @@ def canonical(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     after_number = np.concatenate([[False], number[:-1]])
     template[after_number & _within(_UNIT_HASHES, value)] = _UNIT
     template[number] = _NUMBER
-    return template, value
+    return template, value, _UPPER[data[start]] & opens & (template > _UNIT)
 
 
-def windows(template: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Place and hash of each window that counts."""
+def windows(template: np.ndarray, opener: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Place, hash and form of each window that counts. A form's bits tell which openers are read as names."""
     n = len(template) - WINDOW + 1
     if n < 1:
-        return np.empty(0, dtype=np.int64), np.empty(0, dtype=np.uint64)
+        return np.empty(0, dtype=np.int64), np.empty(0, dtype=np.uint64), np.empty(0, dtype=np.int64)
     literal = np.concatenate([[0], np.cumsum(template > _UNIT)])
-    out = np.zeros(n, dtype=np.uint64)
-    for i in range(WINDOW):
-        out = out * BASE + template[i : i + n]
     place = np.flatnonzero(literal[WINDOW:] - literal[:-WINDOW] >= LITERALS)
-    return place, mix(out[place])
+    openers = np.zeros(len(place), dtype=np.int64)
+    for i in range(WINDOW):
+        openers |= opener[place + i].astype(np.int64) << i
+    found = []
+    for form in range(1 << WINDOW):
+        here = place[(openers & form) == form]
+        if not len(here):
+            continue
+        out = np.zeros(len(here), dtype=np.uint64)
+        for i in range(WINDOW):
+            out = out * BASE + (_NAME if form >> i & 1 else template[here + i])
+        found.append((here, mix(out), np.full(len(here), form)))
+    return tuple(np.concatenate(c) for c in zip(*found, strict=True)) if found else (place, place.astype(np.uint64), place)
+
+
+def whole(prefix: np.ndarray, n: int) -> np.ndarray:
+    """Hash of the ``n`` words at each place where so many are left; apart from hashes of windows."""
+    place = np.arange(max(len(prefix) - n, 0))
+    return range_hash(prefix, place, place + n) ^ _WHOLE
+
+
+def _prefix(value: np.ndarray) -> np.ndarray:
+    """Hash of the first i words for every i."""
+    out = np.zeros(len(value) + 1, dtype=np.uint64)
+    np.cumsum(mix(value) * powers(len(value))[0][: len(value)], out=out[1:])
+    return out
+
 
+def agreeing(found: list[tuple[int, list, list]]) -> set[int]:
+    """Places of the windows (place, slots of the item, slots of the document) of one alignment that are filled as most others."""
+    filled = {(place + i, a, b) for place, own, other in found for i, (a, b) in enumerate(zip(own, other, strict=True)) if a is not None}
+    both, left, right = (Counter(key) for key in zip(*(((a, b), a, b) for _, a, b in filled), strict=True)) if filled else (Counter(), Counter(), Counter())
 
+    def agrees(a: int, b: int) -> bool:
+        return 2 * both[a, b] > max(left[a], right[b])
 
+    return {place for place, own, other in found if all(agrees(a, b) for a, b in zip(own, other, strict=True) if a is not None)}
 
-def _windows_of(texts: DataFrame, wanted: np.ndarray | None) -> DataFrame:
-    """(id, content, hash, place, slots): windows of each text (id, content, text); slots hold the value at each place that is
-    a placeholder, else NULL. With ``wanted`` (sorted) only those windows."""
-    columns = [("id", pa.int64()), ("content", pa.binary()), ("hash", pa.int64()), ("place", pa.int32()), ("slots", pa.list_(pa.int64()))]
+
+
+def _windows_of(texts: DataFrame, wanted: np.ndarray | None, lengths: list[int]) -> DataFrame:
+    """(id, content, hash, place, n, slots): windows of each text (id, content, text); slots hold the value at each place that is
+    a name or a unit, else NULL. With ``wanted`` (sorted) only those windows, and runs of ``lengths`` words; without, all words of
+    the texts that have no windows, with ``n`` words."""
+    columns = [("id", pa.int64()), ("content", pa.binary()), ("hash", pa.int64()), ("place", pa.int32()), ("n", pa.int32()), ("slots", pa.list_(pa.int64()))]
     out = pa.schema(columns)
 
     def make(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows: list[tuple] = []
             for i in range(len(batch)):
-                template, value = canonical(bytes_of(batch.column(2), i))
-                place, hashes = windows(template)
+                template, value, opener = canonical(bytes_of(batch.column(2), i))
+                place, hashes, form = windows(template, opener)
                 if wanted is not None:
                     hit = _within(wanted, hashes)
-                    place, hashes = place[hit], hashes[hit]
-                if not len(place):
-                    continue
+                    place, hashes, form = place[hit], hashes[hit], form[hit]
                 doc_id, content = batch.column(0)[i].as_py(), batch.column(1)[i].as_py()
-                for p, h in zip(place.tolist(), hashes.view(np.int64).tolist(), strict=True):
-                    filled = zip(template[p : p + WINDOW] <= _UNIT, value[p : p + WINDOW].view(np.int64).tolist(), strict=True)
-                    rows.append((doc_id, content, h, p, [v if slot else None for slot, v in filled]))
+                ns = lengths if wanted is not None else [len(value)] * (len(value) > 0 and not len(place))
+                prefix = _prefix(value) if ns else None
+                for n in ns:
+                    runs = whole(prefix, n)
+                    at = np.arange(len(runs)) if wanted is None else np.flatnonzero(_within(wanted, runs))
+                    # One place is enough.
+                    first = np.sort(np.unique(runs[at], return_index=True)[1])
+                    rows += [(doc_id, content, h, p, n, []) for p, h in zip(at[first].tolist(), runs[at[first]].view(np.int64).tolist(), strict=True)]
+                for p, h, f in zip(place.tolist(), hashes.view(np.int64).tolist(), form.tolist(), strict=True):
+                    t, v = template[p : p + WINDOW].tolist(), value[p : p + WINDOW].view(np.int64).tolist()
+                    rows.append((doc_id, content, h, p, 0, [v[k] if t[k] in (_NAME, _UNIT) or f >> k & 1 else None for k in range(WINDOW)]))
             if rows:
                 arrays = [pa.array(list(c), type=f.type) for c, f in zip(zip(*rows, strict=True), out, strict=True)]
                 yield pa.RecordBatch.from_arrays(arrays, schema=out)
 
-    return texts.mapInArrow(make, "id long, content binary, hash long, place int, slots array<long>")
+    return texts.mapInArrow(make, "id long, content binary, hash long, place int, n int, slots array<long>")
+
+
+def _covered(alignments: DataFrame) -> DataFrame:
+    """(id, content, item, place): places of items that the consistent windows of an alignment cover."""
+
+    def pick(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            row, place = [], []
+            for i, found in enumerate(batch.column(3).to_pylist()):
+                held = agreeing([(w["item_place"], w["item_slots"], w["slots"]) for w in found])
+                row += [i] * len(held)
+                place += held
+            kept = [batch.column(c).take(pa.array(row, pa.int64())) for c in range(3)]
+            yield pa.RecordBatch.from_arrays([*kept, pa.array(place, pa.int32())], ["id", "content", "item", "place"])
+
+    return alignments.select("id", "content", "item", "windows").mapInArrow(pick, "id long, content binary, item binary, place int")
 
 
 def _keyed(table: DataFrame, key: str) -> DataFrame:
@@ -139,30 +198,28 @@ def _keyed(table: DataFrame, key: str) -> DataFrame:
 def leaks(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
     """(doc_id, content, item_id, share): items that contaminate documents, and the share of their windows found.
     ``content`` is the MD5 of the text."""
-    # Items of equal text are one item.
-    items = _keyed(benchmark, "item_id").where("id is not null").groupBy("content").agg(F.min("id").alias("id"), F.first("text").alias("text"))
-    asked = staged(_windows_of(items.select("id", "content", "text"), None), "asked").drop("content")
+    # Items of equal text are one item; the id is only its name.
+    items = _keyed(benchmark, "item_id").groupBy("content").agg(F.min("id").alias("id"), F.first("text").alias("text"))
+    asked = staged(_windows_of(items.select("id", "content", "text"), None, []), "asked")
     distinct = asked.select("hash").distinct()
     passes = max(1, -(-distinct.count() // LOOKUP))
+    # Different numbers of words of the items without windows: small numbers, however many items.
+    lengths = sorted(r["n"] for r in asked.where("n > 0").select("n").distinct().collect())
     found = None
     texts = _keyed(documents, "doc_id")
     for i in range(passes):
         # At most about LOOKUP hashes go to the tasks in each pass, and together all of them do.
         wanted = distinct.where(F.pmod(F.xxhash64("hash"), F.lit(passes)) == i) if passes > 1 else distinct
         lookup = np.sort(wanted.toPandas()["hash"].to_numpy(dtype=np.int64).view(np.uint64))
-        more = _windows_of(texts, lookup)
+        more = _windows_of(texts, lookup, lengths)
         found = more if found is None else found.union(more)
     found = staged(found, "found")
-    item = asked.select(F.col("id").alias("item_id"), "hash", F.col("place").alias("item_place"), F.col("slots").alias("item_slots"))
-    met = found.join(item, "hash").withColumn("shift", F.col("place") - F.col("item_place"))
-    filled = F.filter(F.arrays_zip("item_slots", "slots"), lambda x: x["item_slots"].isNotNull())
-    per_alignment = met.groupBy("id", "content", "item_id", "shift").agg(
-        F.collect_set("item_place").alias("places"), F.array_distinct(F.flatten(F.collect_set(filled))).alias("pairs")
-    )
-    one_to_one = (F.size("pairs") == F.size(F.array_distinct("pairs.item_slots"))) & (F.size("pairs") == F.size(F.array_distinct("pairs.slots")))
-    covered = per_alignment.where(one_to_one).select("id", "content", "item_id", F.explode("places").alias("place")).distinct()
-    total = asked.groupBy(F.col("id").alias("item_id")).agg(F.count("*").alias("total"))
-    shares = covered.groupBy("id", "content", "item_id").agg(F.count("*").alias("n")).join(total, "item_id")
+    item = asked.select(F.col("content").alias("item"), "hash", "n", F.col("place").alias("item_place"), F.col("slots").alias("item_slots"))
+    met = found.join(item, ["hash", "n"]).withColumn("shift", F.col("place") - F.col("item_place"))
+    per_alignment = met.groupBy("id", "content", "item", "shift").agg(F.collect_set(F.struct("item_place", "item_slots", "slots")).alias("windows"))
+    covered = _covered(per_alignment).distinct()
+    total = asked.groupBy(F.col("content").alias("item")).agg(F.min("id").alias("item_id"), F.countDistinct("place").alias("total"))
+    shares = covered.groupBy("id", "content", "item").agg(F.count("*").alias("n")).join(total, "item")
     shares = shares.select(F.col("id").alias("doc_id"), "content", "item_id", (F.col("n") / F.col("total")).alias("share"))
     return shares.where(F.col("share") >= SHARE)
 

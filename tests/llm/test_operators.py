@@ -279,6 +279,26 @@ def test_templates_catch_other_numbers(spark):
     assert decontaminate.judge(df, bench.limit(0)).where("contaminated").count() == 0
 
 
+def _contaminated(spark, items, texts):
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = decontaminate.judge(df, spark.createDataFrame(items, "item_id long, text string")).orderBy("doc_id").collect()
+    assert sorted(r["doc_id"] for r in decontaminate.keep_clean(df, spark.createDataFrame(items, "item_id long, text string")).collect()) == [r["doc_id"] for r in found if not r["contaminated"]]
+    return [(r["contaminated"], r["item_id"]) for r in found]
+
+
+def test_slots_split_merge_and_open_sentences(spark):
+    items = [(1, "a basket holds 2 apples and 2 pears so how many fruits does it hold"), (2, "from 4 red and 7 blue marbles one is drawn so what is the chance of red"), (3, "Tom has many old coins in a box. Tom gives 3 of them away. How many are left?")]
+    texts = [items[0][1].replace("2 a", "3 a").replace("2 p", "5 p"), items[1][1].replace("4", "6").replace("7", "6"), items[2][1].replace("Tom", "Anna"), "so " + items[2][1].replace("How", "how")]
+    assert _contaminated(spark, items, texts) == [(True, 1), (True, 2), (True, 3), (True, 3)]
+
+
+def test_items_without_windows_ids_or_with_shared_ids(spark):
+    two = ("the first of two long texts under one id", "another quite different text that shares its id with it")
+    items = [(1, "What is 12 + 30?"), (2, "Did Marie Curie meet Albert Einstein?"), (None, "an item that has no id at all but words"), (4, two[0]), (4, two[1]), (5, " "), (None, None)]
+    texts = ["He asked: What is 12 + 30? Then", "Did Marie Curie meet Albert Einstein?", f"Here {items[2][1]} follow", f"x {two[0]} y", two[1], "What is 12 + 31?", "", None]
+    assert _contaminated(spark, items, texts) == [(True, 1), (True, 2), (True, None), (True, 4), (True, 4), (False, None), (False, None), (False, None)]
+
+
 def _url(url):
     if not url or "://" not in url:
         return "", ""
