@@ -102,16 +102,21 @@ def windows(template: np.ndarray, opener: np.ndarray) -> tuple[np.ndarray, np.nd
     openers = np.zeros(len(place), dtype=np.int64)
     for i in range(WINDOW):
         openers |= opener[place + i].astype(np.int64) << i
-    found = []
-    for form in range(1 << WINDOW):
-        here = place[(openers & form) == form]
-        if not len(here):
-            continue
-        out = np.zeros(len(here), dtype=np.uint64)
+    out = np.zeros(n, dtype=np.uint64)
+    for i in range(WINDOW):
+        out = out * BASE + template[i : i + n]
+    found = [(place, out[place], np.zeros(len(place), dtype=np.int64))]
+    some = openers > 0
+    at, masks = place[some], openers[some]
+    for form in sorted({f for m in np.unique(masks).tolist() for f in range(1, m + 1) if m & f == f}):
+        here = at[(masks & form) == form]
+        other = out[here]
         for i in range(WINDOW):
-            out = out * BASE + (_NAME if form >> i & 1 else template[here + i])
-        found.append((here, mix(out), np.full(len(here), form)))
-    return tuple(np.concatenate(c) for c in zip(*found, strict=True)) if found else (place, place.astype(np.uint64), place)
+            if form >> i & 1:
+                other = other + (_NAME - template[here + i]) * powers(WINDOW)[0][WINDOW - 1 - i]
+        found.append((here, other, np.full(len(here), form)))
+    place, hashes, form = (np.concatenate(c) for c in zip(*found, strict=True)) if len(found) > 1 else found[0]
+    return place, mix(hashes), form
 
 
 def whole(prefix: np.ndarray, n: int) -> np.ndarray:
