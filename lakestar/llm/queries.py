@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from lakestar.llm import decontaminate, near_dedup, neighbours, packing, pii, quality, repeats, token_files, toxicity, url_filter
+from lakestar.llm import decontaminate, near_dedup, neighbours, packing, pii, prefix_trie, quality, repeats, token_files, toxicity, url_filter
 from lakestar.llm.common import held_out
 from lakestar.session import scratch_path
 
@@ -115,3 +115,48 @@ def op10_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register
 def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@register
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.rebuilt_trie(table(spark, sf_dir, "conversations")).drop("enter_at", "exit_at")
+
+
+# crc32 over decimal digits by its table; every node's leaves and savings by joining it with the nodes of its members.
+ORACLES["op11_prefix_trie"] = r"""
+WITH crc_table AS (
+    SELECT list(c ORDER BY n) AS t FROM (
+        SELECT n, list_reduce([n] || range(8), lambda c, k: CASE WHEN c % 2 = 1 THEN xor(3988292384, c >> 1) ELSE c >> 1 END) AS c FROM range(256) AS r(n)
+    )
+), turns AS (
+    SELECT conv_id AS c, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, md5(coalesce(role, '')), md5(coalesce(text, ''))) AS i,
+        coalesce(role, '') AS role, coalesce(text, '') AS text
+    FROM conversations WHERE conv_id IS NOT NULL
+), ids AS (
+    SELECT c, c - c % 20 AS base, xor(4294967295, list_reduce([4294967295] || list_transform(string_split(CAST(c AS VARCHAR), ''), lambda x: CAST(ascii(x) AS BIGINT)),
+        lambda a, b: xor(a >> 8, t[CAST(xor(a & 255, b) AS INT) + 1]))) % 4 AS h
+    FROM (SELECT DISTINCT c FROM turns), crc_table
+), moved AS (
+    SELECT ids.c, 0 AS own, i, role, text FROM ids JOIN turns ON turns.c = base WHERE i <= h
+    UNION ALL SELECT ids.c, 1, i, role, text FROM ids JOIN turns USING (c) WHERE i > h
+), rebuilt AS (
+    SELECT c, list({'r': role, 't': text} ORDER BY own, i) AS s FROM moved GROUP BY c
+), whole AS (SELECT ids.c, coalesce(s, []) AS s FROM ids LEFT JOIN rebuilt USING (c)),
+places AS (SELECT c, d, s[1:d] AS p, d = len(s) AS ends FROM whole, LATERAL unnest(range(len(s) + 1)) AS x(d)),
+nodes AS (
+    SELECT p, CAST(d AS BIGINT) AS depth, min(c) AS conv_id, count(*) AS n_convs, sha256(coalesce(string_agg(CAST(c AS VARCHAR), ',' ORDER BY c) FILTER (ends), '')) AS ends_sha256,
+        CASE WHEN d = 0 THEN 0 ELSE (count(*) - 1) * len(regexp_extract_all(p[d].t, '[^ 	-
+]+')) END AS saved
+    FROM places GROUP BY p, d
+), owned AS (SELECT places.c, places.d, conv_id, depth FROM places JOIN nodes ON places.p = nodes.p AND places.d = nodes.depth),
+linked AS (
+    SELECT n.*, o.conv_id AS parent_conv_id FROM nodes n LEFT JOIN owned o ON o.c = n.conv_id AND o.d = n.depth - 1
+), children AS (SELECT parent_conv_id AS conv_id, depth - 1 AS depth, count(*) AS n_children FROM linked WHERE depth > 0 GROUP BY ALL),
+counted AS (SELECT linked.*, coalesce(n_children, 0) AS n_children FROM linked LEFT JOIN children USING (conv_id, depth)),
+below AS (
+    SELECT o.conv_id, o.depth, count(*) FILTER (u.n_children = 0) AS n_leaves, sum(u.saved) AS saved_tokens
+    FROM counted u JOIN owned o ON o.c = u.conv_id AND o.d <= u.depth GROUP BY ALL
+)
+SELECT conv_id, depth, parent_conv_id, n_convs, n_children, n_leaves, CAST(saved_tokens AS BIGINT) AS saved_tokens, ends_sha256
+FROM counted JOIN below USING (conv_id, depth)
+"""
