@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from lakestar.llm import decontaminate, near_dedup, neighbours, packing, pii, prefix_trie, quality, repeats, token_files, toxicity, url_filter
+from lakestar.llm import decontaminate, near_dedup, neighbours, packing, pii, prefix_trie, quality, ranked_search, repeats, token_files, toxicity, url_filter
 from lakestar.llm.common import held_out
 from lakestar.session import scratch_path
 
@@ -160,3 +160,29 @@ below AS (
 SELECT conv_id, depth, parent_conv_id, n_convs, n_children, n_leaves, CAST(saved_tokens AS BIGINT) AS saved_tokens, ends_sha256
 FROM counted JOIN below USING (conv_id, depth)
 """
+
+
+@register
+def op12_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranked_search.rank_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+ORACLES["op12_ranked_search"] = r"""
+WITH found AS (
+    SELECT row_number() OVER () AS d, doc_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM documents
+), sizes AS (SELECT d, any_value(doc_id) AS doc_id, count(*) AS n FROM found GROUP BY d),
+total AS (SELECT CAST(count(*) AS BIGINT) AS docs, CAST(sum(n) AS BIGINT) AS terms FROM sizes),
+asked AS (
+    SELECT DISTINCT i, item_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+    FROM (SELECT row_number() OVER () AS i, * FROM (SELECT DISTINCT item_id, text FROM benchmark))
+), tfs AS (SELECT d, term, count(*) AS tf FROM found WHERE term IN (SELECT term FROM asked) GROUP BY d, term),
+weights AS (SELECT term, CAST(floor(1000 * ln((2 * docs + 2) / (2 * count(*) + 1))) AS BIGINT) AS w FROM tfs, total GROUP BY term, docs),
+scores AS (
+    SELECT i, item_id, d, doc_id, CAST(sum(w * ((1000000000 * tf) // (1000 * tf + 20 * (100 - 50 + (50 * n * docs) // terms)))) AS BIGINT) AS score
+    FROM asked JOIN weights USING (term) JOIN tfs USING (term) JOIN sizes USING (d), total GROUP BY i, item_id, d, doc_id
+)
+SELECT item_id, CAST(row_number() OVER best AS INT) AS rank, doc_id, score FROM scores WHERE score > 0
+WINDOW best AS (PARTITION BY i ORDER BY score DESC, doc_id NULLS FIRST) QUALIFY row_number() OVER best <= 50
+"""
