@@ -31,7 +31,7 @@ from lakestar.llm.common import bytes_of, staged
 from lakestar.session import scratch_path
 
 # Documents and points of a block at most (one document more is always taken whole).
-BLOCK, POINTS = 1 << 13, 1 << 21
+BLOCK, POINTS = 1 << 11, 1 << 19
 # Items and bytes of item texts that one pass over the documents serves; more items take more passes.
 ITEMS, ITEM_BYTES = 4_096, 1 << 25
 # Blocks of the first round, growth from round to round, and ranges that one step of a search halves.
