@@ -146,8 +146,7 @@ def cut(documents: DataFrame, tokenizer: str, capacity: int = CAPACITY, with_ids
         known = encoder(tokenizer)
         for batch in batches:
             rows = []
-            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                ids = known.document(text.as_py())
+            for doc_id, ids in zip(batch.column(0).to_pylist(), known.documents(batch.column(1)), strict=True):
                 first = len(ids) if len(ids) <= capacity else len(ids) % capacity or capacity
                 ends = [first, *range(first + capacity, len(ids) + 1, capacity)]
                 for k, (a, b) in enumerate(zip([0, *ends], ends)):

@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from lakestar.llm import decontaminate, near_dedup, neighbours, packing, pii, prefix_trie, quality, ranked_search, repeats, token_files, toxicity, url_filter
+from lakestar.llm import cutting_stock, decontaminate, near_dedup, neighbours, packing, pii, prefix_trie, quality, ranked_search, repeats, token_files, toxicity, url_filter
 from lakestar.llm.common import held_out
 from lakestar.session import scratch_path
 
@@ -186,3 +186,8 @@ scores AS (
 SELECT item_id, CAST(row_number() OVER best AS INT) AS rank, doc_id, score FROM scores WHERE score > 0
 WINDOW best AS (PARTITION BY i ORDER BY score DESC, doc_id NULLS FIRST) QUALIFY row_number() OVER best <= 50
 """
+
+
+@register
+def op13_cutting_stock(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cutting_stock.pack_documents(table(spark, sf_dir, "documents"), TOKENIZER)

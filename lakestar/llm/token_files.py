@@ -46,7 +46,7 @@ BLOCKS = (
 
 
 def _width(path: str) -> int:
-    return 2 if encoder(path)._tokenizer.get_vocab_size() <= 1 << 16 else 4
+    return 2 if encoder(path).vocabulary_size() <= 1 << 16 else 4
 
 
 def train_dictionary(documents: DataFrame, tokenizer: str) -> bytes:
@@ -57,7 +57,8 @@ def train_dictionary(documents: DataFrame, tokenizer: str) -> bytes:
     least = [r["rank"] for r in docs.select(rank.alias("rank")).orderBy("rank").limit(SAMPLE_DOCS).collect()]
     sample = docs.where((rank <= max(least, default=0)) & F.length("text").between(1, SAMPLE_CHARS)).limit(SAMPLE_DOCS).select("text").collect()
     kind = f"<u{_width(tokenizer)}"
-    frames = [encoder(tokenizer).document(x.text).astype(kind).tobytes() for x in sample]
+    texts = pa.array([x.text for x in sample], pa.string())
+    frames = [x.astype(kind).tobytes() for x in encoder(tokenizer).documents(texts)]
     try:
         return zstandard.train_dictionary(DICTIONARY_BYTES, frames).as_bytes()
     except zstandard.ZstdError:  # raised for samples that are too few or too small
@@ -93,8 +94,7 @@ def write_tokens(documents: DataFrame, path: str, tokenizer: str) -> None:
             return pa.RecordBatch.from_pydict(dict(zip(_BLOCK_TYPES.names, values, strict=True)), schema=_BLOCK_TYPES)
 
         for batch in batches:
-            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                tokens = known.document(text.as_py())
+            for doc_id, tokens in zip(batch.column(0).to_pylist(), known.documents(batch.column(1)), strict=True):
                 frame = pack.compress(tokens.astype(f"<u{width}").tobytes())
                 if ids and (held + len(frame) > BLOCK_BYTES or len(ids) >= BLOCK_DOCS):
                     yield close()

@@ -53,9 +53,7 @@ def rows(docs):
 
 @pytest.fixture(scope="module")
 def tokenizer():
-    found = Tokenizer.from_file(PATH)
-    found.encode_special_tokens = True
-    return found
+    return Tokenizer.from_file(PATH)
 
 
 def _ids(tokenizer, text):
@@ -81,7 +79,7 @@ def test_token_files_give_back_the_ids(spark, docs, rows, tokenizer):
         assert found == {i: _ids(tokenizer, t).tolist() for i, t in rows if i in some}
 
 
-@pytest.mark.parametrize("text", ["", " ", "a", " a", "a ", "\na", "a\n", " \n a", "a  b", "a\tb c", "it's don't", "x² Ⅷ a٣", "<|endoftext|>", "l'été. été!!", "a.\nB", "\x1c! !\x1c!", "日本語 テキスト。", "\U0001f600 hi"])
+@pytest.mark.parametrize("text", ["", " ", "a", " a", "a ", "\na", "a\n", " \n a", "a  b", "a\tb c", "it's don't", "x² Ⅷ a٣", "<|endoftext|>", "l'été. été!!", "a.\nB", "x <|endoftext|> y<|endoftext|>", "a\n\nb", "a\n\n\nb\n\n", "\n\nb c,. !! .x", "Ａ b x٣ é.", "\xa0a\u3000b", "\x1c! !\x1c!", "日本語 テキスト。", "\U0001f600 hi"])
 def test_encoder_agrees_with_the_library(tokenizer, text):
     from lakestar.llm.tokens import encoder
 
