@@ -20,6 +20,8 @@ _ONLY_DECIMALS = rf"^{_PAD}[+-]?\.\d*{_PAD}$"
 _DECIMAL = rf"^{_PAD}[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?{_PAD}$"
 # Spellings of a double beyond that: names of special values, a type suffix, hexadecimal digits.
 _ODD_DOUBLE = r"(?i)nan|inf|\d\.?[df]|0x"
+# Texts that may be a date: a year, maybe a month and a day, maybe a time behind it.
+_MAY_BE_DATE = rf"^{_PAD}[+-]?\d{{4,7}}(-\d{{1,2}}(-\d{{1,2}}([ T].*)?)?)?{_PAD}$"
 _ISO_DATE = r"^\d{4}-\d{2}-\d{2}$"
 
 
@@ -40,7 +42,7 @@ def lenient_double(c: Column) -> Column:
 
 def lenient_date(c: Column) -> Column:
     """String or timestamp to date; the day of a datetime text is kept."""
-    return c.try_cast("date")
+    return F.when(c.cast("string").rlike(_MAY_BE_DATE), c.try_cast("date"))
 
 
 def strict_date(c: Column, pattern: str = "yyyy-MM-dd") -> Column:

@@ -23,6 +23,8 @@ def _arguments(argv: Sequence[str] | None) -> argparse.Namespace:
     parser = argparse.ArgumentParser(description=__doc__, formatter_class=argparse.RawDescriptionHelpFormatter)
     for root in ("raw", "bronze", "silver", "gold"):
         parser.add_argument(f"--{root}", required=True, help=f"root of the {root} layer")
+    parser.add_argument("--rejects", help="root of the tables of malformed raw lines; without it they are cut or padded")
+    parser.add_argument("--keys", help="root of the key tables; without it surrogate keys are made anew with their dimension")
     parser.add_argument("--step", action="append", choices=STEPS, help="step to run, may be repeated; all by default")
     parser.add_argument("--format", default=DEFAULT_FORMAT, help="table format of all layers but the raw one")
     parser.add_argument("--codes", nargs="+", default=["icd_code", "icd_version"], help="columns that name a diagnosis")
@@ -39,7 +41,8 @@ def main(argv: Sequence[str] | None = None, spark: SparkSession | None = None) -
     if given.keep_times:
         specs = {table: keep_times(spec) for table, spec in specs.items()}
     layers = Layers(
-        spark or build_session("lakestar-refresh"), given.raw, given.bronze, given.silver, given.gold, given.format, given.repair
+        spark or build_session("lakestar-refresh"), given.raw, given.bronze, given.silver, given.gold, given.format, given.repair,
+        given.rejects, given.keys,
     )
     refresh(layers, given.step or STEPS, specs, given.codes, given.on)
 

@@ -43,6 +43,13 @@ def require_unique(df: DataFrame, key: Sequence[str]) -> DataFrame:
     return df
 
 
+def missing_keys(fact: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """(key, rows, missing): how many rows of a fact have found no dimension row, key by key, in one pass."""
+    counts = fact.agg(F.count("*").alias("rows"), *[F.count_if(F.col(k).isNull()).alias(f"_{i}") for i, k in enumerate(keys)])
+    each = [F.struct(F.lit(k).alias("key"), F.col("rows").alias("rows"), F.col(f"_{i}").alias("missing")) for i, k in enumerate(keys)]
+    return counts.select(F.explode(F.array(*each)).alias("_k")).select("_k.*")
+
+
 def _sortable(kind: DataType) -> bool:
     if isinstance(kind, StructType):
         return all(_sortable(f.dataType) for f in kind.fields)

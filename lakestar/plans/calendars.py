@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Iterable, Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from lakestar.functions.dates import date_key, is_weekend, weekday_name
 from lakestar.operators.keys import stable_key
@@ -57,3 +58,17 @@ def range_calendar(bounds: DataFrame, start: str, end: str) -> DataFrame:
     return explode_dates(bounds.select(start, end), start, end).select(
         date_key(date).alias("date_sk"), date, *_day_month_year(), weekday_name(date, short=True).alias("weekday")
     )
+
+
+def extreme_dates(spark: SparkSession, sources: DateSources, start: str | None = None, end: str | None = None) -> DataFrame:
+    """(start, end), one row: the first and the last date in any of the columns, and no later or earlier than those given.
+
+    Each source is reduced to its extremes by a scan of its date columns alone; one without dates adds nothing.
+    """
+    least, greatest = ([dt.date.fromisoformat(d)] if d else [] for d in (start, end))
+    for df, columns in sources:
+        dates = [F.col(c).cast("date") for c in columns]
+        found = list(df.agg(*[F.min(d) for d in dates], *[F.max(d) for d in dates]).first())
+        least += [d for d in found[: len(dates)] if d]
+        greatest += [d for d in found[len(dates) :] if d]
+    return spark.createDataFrame([(min(least, default=None), max(greatest, default=None))], "start date, end date")

@@ -110,7 +110,8 @@ def fact_transfers(transfers: DataFrame, dim_patient: DataFrame) -> DataFrame:
     """One row per transfer, numbered by patient, admission and time."""
     rows = transfers.select("subject_id", "hadm_id", "intime", "transfer_id", "careunit")
     rows = lookup(rows, DimRef(dim_patient, [("subject_id", "subject_id")], {"patient_sk": "patient_sk"}))
-    numbered = dense_key(rows, ["subject_id", "hadm_id", "intime", "transfer_id"], "fact_transfer_id")
+    # The sort reads its input twice; the join behind it runs once.
+    numbered = dense_key(staged(rows), ["subject_id", "hadm_id", "intime", "transfer_id"], "fact_transfer_id")
     return numbered.select(
         "fact_transfer_id",
         F.col("hadm_id").alias("admission_id"),

@@ -22,18 +22,8 @@ def encode_gender(gender: Column, male: str = "Male") -> Column:
     return F.when(gender == male, 1.0).otherwise(0.0)
 
 
-def _counts(df: DataFrame, name: str) -> DataFrame:
-    return df.groupBy("subject_id").agg(F.count("*").cast("double").alias(name))
-
-
-def item_means(measurements: DataFrame, items: Sequence[object]) -> DataFrame:
-    """Mean value of each item per patient, one column per item; the scan reads only those items."""
-    wanted = measurements.select("subject_id", "itemid", "valuenum").filter(F.col("itemid").isin(*items))
-    means = []
-    for item in items:
-        value = F.when(F.col("itemid") == item, F.col("valuenum"))
-        means.append(F.try_divide(F.sum(value).cast("double"), F.count(value)).alias(str(item)))
-    return wanted.groupBy("subject_id").agg(*means)
+def _tagged(df: DataFrame, kind: str, **columns: Column) -> DataFrame:
+    return df.select(F.col("subject_id"), F.lit(kind).alias("_kind"), *[c.alias(name) for name, c in columns.items()])
 
 
 def feature_table(
@@ -48,23 +38,33 @@ def feature_table(
 ) -> DataFrame:
     """Features of each patient; what was never recorded is 0. ``icu_los`` is the sum of the stays in days.
 
-    Each source is reduced to one row per patient before the joins, which all use the same key.
+    All sources are one tagged union and one aggregation, so rows are reduced in the tasks that read them and what is
+    left is shuffled once. Scans of measurements read the wanted items alone. A patient who is there more than once is one row,
+    with the highest age and male if any of the rows is; patients without an id each keep a row, without events.
     """
     seconds = seconds_between(F.col("intime"), F.col("outtime"))
-    stays = icustays.groupBy("subject_id").agg((F.sum(seconds) / SECONDS_PER_DAY).alias("icu_los"))
-    measured = union_all([m.select("subject_id", "itemid", "valuenum") for m in measurements])
-    rows = patients.select(
-        "subject_id", F.col("anchor_age").cast("double").alias("anchor_age"), encode_gender(F.col("gender")).alias("gender")
-    )
+    person = patients.select("subject_id", F.col("anchor_age").cast("double").alias("_age"), encode_gender(F.col("gender")).alias("_male"))
+    wanted = union_all([m.select("subject_id", "itemid", "valuenum").filter(F.col("itemid").isin(*items)) for m in measurements])
+    counted = {"num_diagnoses": diagnoses, "num_procedures": procedures, "num_drugs": prescriptions, "num_admissions": admissions}
+    known = person.where("subject_id IS NOT NULL")
     parts = [
-        stays,
-        _counts(diagnoses, "num_diagnoses"),
-        _counts(procedures, "num_procedures"),
-        _counts(prescriptions, "num_drugs"),
-        _counts(admissions, "num_admissions"),
-        item_means(measured, items),
+        _tagged(known, "patient", _age=F.col("_age"), _male=F.col("_male")),
+        _tagged(icustays, "icu_los", _seconds=seconds),
+        *[_tagged(df, name) for name, df in counted.items()],
+        _tagged(wanted, "item", itemid=F.col("itemid"), valuenum=F.col("valuenum")),
     ]
-    for part in parts:
-        rows = rows.join(part, "subject_id", "left")
+    rows = parts[0]
+    for part in parts[1:]:
+        rows = rows.unionByName(part, allowMissingColumns=True)
+    kind = F.col("_kind")
+    aggregates = [F.max("_age").alias("anchor_age"), F.max("_male").alias("gender"), (F.sum("_seconds") / SECONDS_PER_DAY).alias("icu_los")]
+    aggregates += [F.count_if(kind == name).cast("double").alias(name) for name in counted]
+    for item in items:
+        value = F.when(F.col("itemid") == item, F.col("valuenum"))
+        aggregates.append(F.try_divide(F.sum(value).cast("double"), F.count(value)).alias(str(item)))
     names = [*BASE_FEATURES, *[str(item) for item in items]]
-    return rows.select("subject_id", *[f"`{name}`" for name in names]).fillna(0.0, names)
+    is_patient = F.count_if(kind == "patient").alias("_patients")
+    found = rows.where("subject_id IS NOT NULL").groupBy("subject_id").agg(is_patient, *aggregates).where("_patients > 0")
+    nameless = person.where("subject_id IS NULL").select("subject_id", F.col("_age").alias("anchor_age"), F.col("_male").alias("gender"))
+    whole = found.drop("_patients").unionByName(nameless, allowMissingColumns=True)
+    return whole.select("subject_id", *[F.col(f"`{name}`") for name in names]).fillna(0.0, names)

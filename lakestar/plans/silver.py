@@ -3,12 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 
 from lakestar.functions.casts import prefix_int, recode, strict_date
-from lakestar.operators.conform import Rule, conform
+from lakestar.operators.conform import Rule, conform, conform_counted
 
 
 @dataclass(frozen=True)
@@ -19,21 +19,35 @@ class TableSpec:
     area: str
     rules: dict[str, Rule] = field(default_factory=dict)
 
+    # Columns by which the typed table is dealt and sorted, where reports filter on them; none keeps the raw order.
+    cluster: tuple[str, ...] = ()
+
     def build(self, raw: DataFrame) -> DataFrame:
         return conform(raw, self.rules)
 
+    def build_counted(self, raw: DataFrame) -> tuple[DataFrame, Observation]:
+        """The same, with the number of values that each rule loses."""
+        return conform_counted(raw, self.rules)
+
+    def rule_names(self) -> list[tuple[str, str]]:
+        """Each rule's column and kind, in the order of the loss counts."""
+        return [(name, rule if isinstance(rule, str) else rule.__name__.strip("_")) for name, rule in self.rules.items()]
+
 
 def _gender(c: Column) -> Column:
     return recode(c, {"M": "Male", "F": "Female"})
 
 
-def _spec(folder: str, area: str, *, special: dict[str, Callable[[Column], Column]] | None = None, **by_type: str) -> TableSpec:
+def _spec(
+    folder: str, area: str, *, special: dict[str, Callable[[Column], Column]] | None = None, cluster: str = "", **by_type: str
+) -> TableSpec:
     """Spec from column names listed by type, as one text per type."""
     rules: dict[str, Rule] = {name: kind for kind, names in by_type.items() for name in names.split()}
-    return TableSpec(folder, area, {**rules, **(special or {})})
+    return TableSpec(folder, area, {**rules, **(special or {})}, tuple(cluster.split()))
 
 
-# The tables, their folders and areas, and the type of each column. Columns not listed stay strings.
+# The tables, their folders and areas, and the type of each column. Columns not listed stay strings. The two
+# tables that vital signs and features filter by item are clustered by it.
 SILVER_TABLES: dict[str, TableSpec] = {
     "patients": _spec(
         "hosp", "PatientTracking",
@@ -79,6 +93,7 @@ SILVER_TABLES: dict[str, TableSpec] = {
         date="charttime storetime",
         int="subject_id hadm_id specimen_id itemid labevent_id",
         double="valuenum ref_range_lower ref_range_upper",
+        cluster="itemid subject_id",
     ),
     "microbiologyevents": _spec(
         "hosp", "Measurement",
@@ -95,6 +110,7 @@ SILVER_TABLES: dict[str, TableSpec] = {
         date="charttime storetime",
         double="valuenum",
         string="valueuom value",
+        cluster="itemid stay_id",
     ),
     "datetimeevents": _spec(
         "icu", "ICU-Measurement",
@@ -137,10 +153,10 @@ def cut_ids(table: str) -> TableSpec:
     """The table with its composite id cut to an int of the first characters. Ids that share them become equal, and those
     whose first part is shorter are lost, so this has to be asked for."""
     spec = SILVER_TABLES[table]
-    return TableSpec(spec.folder, spec.area, {**spec.rules, COMPOSITE_IDS[table]: prefix_int})
+    return replace(spec, rules={**spec.rules, COMPOSITE_IDS[table]: prefix_int})
 
 
 def keep_times(spec: TableSpec) -> TableSpec:
     """The same table with times of day kept: dates by cast become timestamps."""
     rules = {name: (lambda c: c.try_cast("timestamp")) if rule == "date" else rule for name, rule in spec.rules.items()}
-    return TableSpec(spec.folder, spec.area, rules)
+    return replace(spec, rules=rules)

@@ -51,6 +51,16 @@ def build_session(app: str = "lakestar", master: str | None = None, conf: dict[s
     return apply_sql_conf(builder.getOrCreate())
 
 
+def side_session(spark: SparkSession) -> SparkSession:
+    """A session of the same application with the same settings, for jobs that are observed: a session that has observed one
+    cannot ship models to its executors any more that were fitted in it."""
+    other = spark.newSession()
+    for name, value in spark.conf.getAll.items():
+        if spark.conf.isModifiable(name) and other.conf.get(name, None) != value:
+            other.conf.set(name, value)
+    return other
+
+
 def together(*jobs: Callable[[], T], parallel: int = 4) -> list[T]:
     """Start independent Spark jobs a few at a time, so that small ones do not leave the cluster idle."""
     with ThreadPoolExecutor(max_workers=parallel) as pool:

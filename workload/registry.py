@@ -30,6 +30,15 @@ class Tables:
         return table
 
 
+def register_typed(name: str, build: Callable[[Tables], DataFrame], sql: str) -> None:
+    """Register a function that has no name of its own."""
+
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return build(Tables(apply_sql_conf(spark), sf_dir))
+
+    QUERIES[name], ORACLES[name] = run, sql
+
+
 def query(sql: str | None) -> Callable[[Callable[[Tables], DataFrame]], Callable[[Tables], DataFrame]]:
     """Register a function of the tables under its name, with the SQL to compare it with, if there is one."""
 
