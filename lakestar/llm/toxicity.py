@@ -6,9 +6,11 @@
    and each is a lattice: every character can stand for itself or for what it imitates, a repeated one can be dropped.
    Viterbi's algorithm picks the reading that language model and channel together find likeliest. All other characters
    have one reading, so the rest of the text is its own decoding. A second lattice lets a word border come before any
-   character, as spaced and glued spellings show none; where its reading differs, both count.
+   character, as spaced and glued spellings show none; where its reading differs, both count. A spelling that is read as
+   it stands is a plain word, and like others not cut.
 3. The restored text is scored by its words and their beginnings: each has the smoothed share of toxic documents among
-   the labelled ones that hold it; the largest share of any is turned into a probability by the labelled documents.
+   the labelled ones that hold it. The largest share and the log-odds that all telling words add up to are turned into a
+   probability by the labelled documents.
 
 Defined results: NULL and empty texts score like a text without telling words; without labels of both kinds every score is
 about 0; of several labels of a document the largest counts; repeated rows are scored alike; an empty table gives no rows; other columns are never inputs.
@@ -16,8 +18,9 @@ about 0; of several labels of a document the largest counts; repeated rows are s
 
 from __future__ import annotations
 
+import math
 import re
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterable, Iterator, Sequence
 from functools import lru_cache
 
 import numpy as np
@@ -28,6 +31,10 @@ from lakestar.llm.common import staged, text_or_empty
 
 # Labelled rows that shares are counted on at most: those with the least hashes of their ids.
 FIT_ROWS = 40_000
+# Rows of the sample that are calibrated on; a labelled id that many rows share is in the sample with all of them.
+CALIBRATE_ROWS = 100_000
+# What a feature at the least share still adds to the evidence.
+_FLOOR = 0.9
 # A feature needs so many toxic documents; shares are smoothed by so many documents of the common share.
 LEAST_DOCUMENTS, SMOOTHING = 4, 4.0
 # Only features above this share are kept: others say no more than that a text is a text.
@@ -52,6 +59,10 @@ _HINT = re.compile(rf"[{_SIGNS}]{_LETTER}|{_LETTER}[{_SIGNS}]|({_LETTER})\1\1")
 _ONE = rf"(?:[^\W_]|[{_SIGNS}])"
 _SPACED = re.compile(rf"(?<![^\W_]){_ONE}([^\S\r\n]+|[.\-_*/]){_ONE}(?:\1{_ONE})+(?![^\W_])")
 _WORD = re.compile(r"[^\W\d_]+")
+# A short run of one sign at the end.
+_RUN = re.compile(rf"([{re.escape(''.join(c for c in IMITATES if not c.isalpha()))}])\1{{0,7}}\Z")
+# Where a lower-case spelling begins to have more than one reading.
+_BRANCH = re.compile(rf"[{re.escape(''.join(IMITATES))}]|(.)\1", re.DOTALL)
 
 SYMBOLS = 28
 _OTHER_LETTER, _REST = 26, 27
@@ -117,8 +128,10 @@ class Decoder:
     """Viterbi decoding of disguised spellings under a language model."""
 
     def __init__(self, model: np.ndarray) -> None:
-        self._model = model.ravel().tolist()
-        self._cached = lru_cache(maxsize=100_000)(self._word)
+        self._array = model.ravel().astype(np.float64)
+        self._model = self._array.tolist()
+        self._cached, self._ends = lru_cache(maxsize=50_000)(self._word), lru_cache(maxsize=50_000)(self._end)
+        self._runs = lru_cache(maxsize=32)(self._run)
 
     def word(self, text: str) -> str:
         """The likeliest reading of one spelling of any length, lower-cased, and that with word borders if it is another.
@@ -127,9 +140,27 @@ class Decoder:
 
     def _word(self, text: str) -> str:
         text = text.lower()
-        plain, split = self._likeliest(text, False), self._likeliest(text, True)
+        plain = self._plain(text)
+        if plain == text:
+            # Read as it stands: nothing is disguised here, and other plain words are not cut either.
+            return plain
+        split = self._likeliest(text, True)
         return plain if plain == split else f"{plain} {split}"
 
+    def _plain(self, text: str) -> str:
+        """The likeliest reading without borders. Up to its first sign or doubled letter a spelling has one reading, so what follows
+        depends on the last three letters before alone."""
+        found = _BRANCH.search(text)
+        at = found.start() if found else len(text)
+        state = _START
+        for sign in text[max(0, at - 3) : at]:
+            state = (state * SYMBOLS + _symbol(sign)) % SYMBOLS**3
+        end = text[at:]
+        return text[:at] + (self._ends(end, state) if len(end) <= KEPT else self._end(end, state))
+
+    def _end(self, text: str, state: int) -> str:
+        return self._likeliest(text, False, state)
+
     def _readings(self, text: str, i: int) -> list[tuple[str, float]]:
         c = text[i]
         if c.isalpha():
@@ -140,32 +171,66 @@ class Decoder:
             return [(c, _SELF)]
         return [(c, _SIGN_SELF), *((x, _SIGN) for x in IMITATES[c])]
 
-    def _likeliest(self, text: str, borders: bool) -> str:
-        model, done = self._model, []
+    def _likeliest(self, text: str, borders: bool, start: int = _START) -> str:
+        model, done, base, states = self._model, [], SYMBOLS, SYMBOLS**3
+        run = _RUN.search(text)
+        stop = run.start() if run and (run.start() or not borders) else len(text)
         # Paths by their last three symbols as one number. They are chains (earlier, signs), so that a step costs the same however
         # long the text; what all paths share is done.
-        paths: dict[int, tuple[float, tuple]] = {_START: (0.0, ())}
-        for i in range(len(text) + 1):
+        paths: dict[int, tuple[float, tuple]] = {start: (0.0, ())}
+        for i in range(stop):
             after: dict[int, tuple[float, tuple]] = {}
-            readings = self._readings(text, i) if i < len(text) else [(" ", 0.0)]
-            if borders and 0 < i < len(text):
+            readings = self._readings(text, i)
+            if borders and i:
                 readings += [(f" {out}", channel + _BORDER) for out, channel in readings if out.isalpha()]
-            coded = [(out, channel, [_symbol(sign) for sign in out]) for out, channel in readings]
+            coded = [(out, channel, *map(_symbol, out)) for out, channel in readings]
             for state, (score, read) in paths.items():
-                for out, channel, signs in coded:
-                    new, total = state, score + channel
+                for out, total, *signs in coded:
+                    total += score
+                    new = state
                     for s in signs:
-                        at = new * SYMBOLS + s
+                        at = new * base + s
                         total += model[at]
-                        new = at % SYMBOLS**3
-                    if new not in after or after[new][0] < total:
+                        new = at % states
+                    known = after.get(new)
+                    if known is None or known[0] < total:
                         after[new] = (total, (read, out) if out else read)
             paths = after
             if len(paths) == 1:
                 ((state, (score, read)),) = paths.items()
                 done.append(_spelled(read))
                 paths = {state: (score, ())}
-        return "".join([*done, _spelled(max(paths.values(), key=lambda p: p[0])[1])])[:-1]
+        left, picks, nexts, outs = self._runs(text[stop : stop + 1], len(text) - stop, borders)
+        state = max(paths, key=lambda s: paths[s][0] + left[s])
+        done.append(_spelled(paths[state][1]))
+        for pick, after_pick in zip(picks, nexts, strict=True):
+            chosen = pick[state]
+            done.append(outs[chosen])
+            state = after_pick[chosen][state]
+        return "".join(done)
+
+    def _run(self, sign: str, count: int, borders: bool) -> tuple:
+        """For a run of one sign at a spelling's end, the best score from every state on to the end, and for each place the reading
+        that leads there. Spellings end in few different runs, so each is worked out for all states at once, from the end."""
+        model, every = self._array, np.arange(SYMBOLS**3)
+        left = model[every * SYMBOLS + _REST]
+        readings = self._readings(sign, 0) if count else []
+        if borders:
+            readings += [(f" {out}", channel + _BORDER) for out, channel in readings if out.isalpha()]
+        step, reached = [], []
+        for out, channel in readings:
+            total, new = np.full(len(every), channel), every
+            for s in map(_symbol, out):
+                at = new * SYMBOLS + s
+                total, new = total + model[at], at % SYMBOLS**3
+            step.append(total)
+            reached.append(new.astype(np.int32))
+        picks = []
+        for _ in range(count):
+            totals = np.stack([t + left[new] for t, new in zip(step, reached, strict=True)])
+            picks.append(totals.argmax(axis=0).astype(np.int8))
+            left = totals.max(axis=0)
+        return left, picks[::-1], [reached] * count, [out for out, _ in readings]
 
     def restore(self, text: str) -> str:
         """The text with every disguised spelling replaced by its likeliest reading."""
@@ -176,7 +241,18 @@ class Decoder:
 
 
 # Beginnings of words that are features beside the words themselves.
-BEGINNINGS = (4, 5, 6)
+BEGINNINGS = (4, 5, 6, 7)
+
+
+_decoder: tuple[np.ndarray, Decoder] | None = None
+
+
+def worker_decoder(model: np.ndarray) -> Decoder:
+    """The worker's decoder for a model, with what earlier tasks have read; one for another model takes its place."""
+    global _decoder
+    if _decoder is None or _decoder[0] is not model:
+        _decoder = (model, Decoder(model))
+    return _decoder[1]
 
 
 def features(word: str) -> list[str]:
@@ -224,26 +300,28 @@ def feature_shares(sample: DataFrame) -> dict[str, float]:
 
 
 class Scorer:
-    """Largest share of any word of a text, and what probability that has turned out to mean."""
+    """Evidence of the words of a text, and what probability that has turned out to mean."""
 
-    def __init__(self, shares: dict[str, float], slope: float = 1.0, shift: float = 0.0) -> None:
-        self._shares, self._slope, self._shift, self._known = shares, slope, shift, {}
+    def __init__(self, shares: dict[str, float], weights: Sequence[float] = (1.0, 0.0, 0.0)) -> None:
+        self._shares, self._weights, self._known = shares, np.array(weights), {}
 
-    def largest(self, text: str) -> float:
-        best, known = 0.0, self._known
+    def evidence(self, text: str) -> tuple[float, float]:
+        """The largest share of any word, and the log-odds that all telling words add up to, each word once."""
+        best, total, known = 0.0, 0.0, self._known
         for word in set(_WORD.findall(text.lower())):
             p = known.get(word)
             if p is None:
                 p = max((self._shares.get(f, 0.0) for f in features(word)), default=0.0)
-                if len(known) > 500_000:
+                if len(known) > 200_000:
                     known.clear()
                 known[word] = p
-            if p > best:
-                best = p
-        return best
+            if p:
+                best = max(best, p)
+                total += math.log(p / (1 - p)) + _FLOOR
+        return best, total
 
     def score(self, text: str) -> float:
-        return float(_probability(_log_odds(np.array([self.largest(text)])), self._slope, self._shift)[0])
+        return float(_probability(_inputs([self.evidence(text)]), self._weights)[0])
 
 
 def _log_odds(share: np.ndarray) -> np.ndarray:
@@ -251,34 +329,40 @@ def _log_odds(share: np.ndarray) -> np.ndarray:
     return np.log(share / (1 - share))
 
 
-def _probability(x: np.ndarray, slope: float, shift: float) -> np.ndarray:
-    return 1 / (1 + np.exp(-np.clip(slope * x + shift, -30, 30)))
+def _inputs(evidence: Sequence[tuple[float, float]]) -> np.ndarray:
+    found = np.array(evidence, dtype=float).reshape(-1, 2)
+    return np.stack([_log_odds(found[:, 0]), np.log1p(np.maximum(found[:, 1], 0)), np.ones(len(found))], axis=1)
+
+
+def _probability(inputs: np.ndarray, weights: np.ndarray) -> np.ndarray:
+    return 1 / (1 + np.exp(-np.clip(inputs @ weights, -30, 30)))
 
 
-def calibrate(sample: DataFrame, shares: dict[str, float]) -> tuple[float, float]:
-    """Slope and shift of the log-odds at which the sample's documents are toxic, given their largest share: the
-    largest of hundreds of words is often high by chance."""
+def calibrate(sample: DataFrame, shares: dict[str, float]) -> tuple[float, ...]:
+    """Weights of the log-odds at which the sample's documents are toxic, given their evidence: the largest share of hundreds
+    of words is often high by chance, and several telling words say more than one. A bounded part of the sample is looked at."""
 
-    def largest(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def gather(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = Scorer(shares)
         for batch in batches:
-            yield pa.RecordBatch.from_arrays([pa.array([scorer.largest(x) for x in batch.column(0).to_pylist()], pa.float64()), batch.column(1)], ["share", "label"])
+            found = [scorer.evidence(x) for x in batch.column(0).to_pylist()]
+            columns = [pa.array([x[k] for x in found], pa.float64()) for k in (0, 1)]
+            yield pa.RecordBatch.from_arrays([*columns, batch.column(1)], ["share", "total", "label"])
 
-    rows = sample.mapInArrow(largest, "share double, label int").toPandas()
-    x, y = _log_odds(rows["share"].to_numpy()), (rows["label"].to_numpy() > 0).astype(float)
+    rows = sample.mapInArrow(gather, "share double, total double, label int").limit(CALIBRATE_ROWS).toPandas()
+    y = (rows["label"].to_numpy() > 0).astype(float)
     if not len(y) or y.min() == y.max():
-        return 1.0, -30.0
-    weights = np.array([1.0, 0.0])
-    inputs = np.stack([x, np.ones_like(x)], axis=1)
+        return 0.0, 0.0, -30.0
+    weights, inputs = np.array([1.0, 0.0, 0.0]), _inputs(rows[["share", "total"]].to_numpy())
     for _ in range(50):  # Newton's method with a weak pull to zero, so that clean separation stays finite
-        p = _probability(x, *weights)
+        p = _probability(inputs, weights)
         gradient = inputs.T @ (y - p) - 1e-2 * weights
-        curve = (inputs * (p * (1 - p))[:, None]).T @ inputs + 1e-2 * np.eye(2)
+        curve = (inputs * (p * (1 - p))[:, None]).T @ inputs + 1e-2 * np.eye(3)
         step = np.clip(np.linalg.solve(curve, gradient), -2, 2)
         weights += step
         if np.abs(step).max() < 1e-6:
             break
-    return max(float(weights[0]), 0.0), float(weights[1])
+    return tuple(float(w) for w in weights)
 
 
 def _counted(total: dict[str, list[int]]) -> pa.RecordBatch:
@@ -291,7 +375,7 @@ def _learned(documents: DataFrame, labels: DataFrame):  # noqa: ANN202
     model = language_model(documents)
     sample = _sample(documents, labels, model)
     shares = feature_shares(sample)
-    return documents.sparkSession.sparkContext.broadcast((model, shares, *calibrate(sample, shares)))
+    return documents.sparkSession.sparkContext.broadcast((model, shares, calibrate(sample, shares)))
 
 
 def score_toxicity(documents: DataFrame, labels: DataFrame, with_text: bool = False) -> DataFrame:
@@ -302,7 +386,7 @@ def score_toxicity(documents: DataFrame, labels: DataFrame, with_text: bool = Fa
 
     def score(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model, *rest = known.value
-        decode, scorer = Decoder(model), Scorer(*rest)
+        decode, scorer = worker_decoder(model), Scorer(*rest)
         for batch in batches:
             texts = [decode.restore(x.as_py()) for x in batch.column(1)]
             scores = pa.array([scorer.score(x) for x in texts], pa.float64())
@@ -317,7 +401,7 @@ def keep_below(documents: DataFrame, labels: DataFrame, bound: float) -> DataFra
 
     def keep(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model, *rest = known.value
-        decode, scorer = Decoder(model), Scorer(*rest)
+        decode, scorer = worker_decoder(model), Scorer(*rest)
         for batch in batches:
             yield batch.filter(pa.array([scorer.score(decode.restore(x.as_py() or "")) < bound for x in batch.column(text)], pa.bool_()))
 
