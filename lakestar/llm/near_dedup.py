@@ -4,7 +4,8 @@
    one key have equal sets; from here on one class stands for all of them, however many.
 2. Each tree of the forest orders the classes by a part of their signature. In that order the predecessor is the class with
    the longest common prefix, so the depth that is compared adapts to how dense a region is. Predecessor and
-   first class of the region (equal in ``DEPTH`` values) are the candidates; they are confirmed on whole sets.
+   first class of the region (equal in ``DEPTH`` values) are the candidates; the likely ones by signature are confirmed on
+   whole sets.
 3. Where the classes of a region still lie in different components, the remaining pairs of the region are compared in blocks: by
    signature, and the likely ones on whole sets at once. A pair belongs to the first tree that has it in one region, and is passed over
    where links found so far connect it, so that a block returns fewer links than it has classes. No pair that shares a
@@ -24,7 +25,7 @@ from collections.abc import Iterable, Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from lakestar.llm.common import BASE, bytes_of, mix, shingle_hashes, staged, text_or_empty, word_hashes
 from lakestar.llm.components import components
@@ -58,8 +59,8 @@ def _key(shingles: np.ndarray) -> bytes:
 
 
 def document_sets(documents: DataFrame, words: int) -> DataFrame:
-    """(doc_id, n_shingles, cls, sig): cls and sig are NULL for an empty set."""
-    out = pa.schema([("doc_id", pa.int64()), ("n_shingles", pa.int64()), ("cls", pa.binary()), ("sig", pa.binary())])
+    """(doc_id, n_shingles, cls, sig, content): cls and sig are NULL for an empty set; content is the MD5 of the text."""
+    out = pa.schema([("doc_id", pa.int64()), ("n_shingles", pa.int64()), ("cls", pa.binary()), ("sig", pa.binary()), ("content", pa.binary())])
 
     def sets(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -69,9 +70,14 @@ def document_sets(documents: DataFrame, words: int) -> DataFrame:
                 n.append(len(found))
                 cls.append(_key(found) if len(found) else None)
                 sig.append(signature(found).tobytes() if len(found) else None)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n, pa.int64()), pa.array(cls, pa.binary()), pa.array(sig, pa.binary())], schema=out)
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n, pa.int64()), pa.array(cls, pa.binary()), pa.array(sig, pa.binary()), batch.column(2)], schema=out)
 
-    return text_or_empty(documents).mapInArrow(sets, "doc_id long, n_shingles long, cls binary, sig binary")
+    texts = text_or_empty(documents).withColumn("content", content_of(F.col("text")))
+    return texts.mapInArrow(sets, "doc_id long, n_shingles long, cls binary, sig binary, content binary")
+
+
+def content_of(text: Column) -> Column:
+    return F.unhex(F.md5(F.coalesce(text, F.lit("")).cast("binary")))
 
 
 def _region_ids(value: np.ndarray) -> np.ndarray:
@@ -152,14 +158,22 @@ def _whole_sets(documents: DataFrame, ids: DataFrame, words: int) -> DataFrame:
 def _confirmed(pairs: DataFrame, classes: DataFrame, documents: DataFrame, words: int, percent: int) -> DataFrame:
     """The pairs of classes whose whole sets reach the bound. Sets are made again from the texts of the classes in
     question only; their documents are found by id."""
-    sized = classes.select("cls", "n_shingles", "doc_id")
+    sized = classes.select("cls", "n_shingles", "doc_id", "sig")
     size = F.least("n_a", "n_b") * 100 >= F.greatest("n_a", "n_b") * percent
-    pairs = (
-        pairs.join(sized.select(F.col("cls").alias("a"), F.col("n_shingles").alias("n_a"), F.col("doc_id").alias("doc_a")), "a")
-        .join(sized.select(F.col("cls").alias("b"), F.col("n_shingles").alias("n_b"), F.col("doc_id").alias("doc_b")), "b")
+    described = (
+        pairs.join(sized.select(F.col("cls").alias("a"), F.col("n_shingles").alias("n_a"), F.col("doc_id").alias("doc_a"), F.col("sig").alias("sig_a")), "a")
+        .join(sized.select(F.col("cls").alias("b"), F.col("n_shingles").alias("n_b"), F.col("doc_id").alias("doc_b"), F.col("sig").alias("sig_b")), "b")
         .where(size)
+        .select("a", "b", "doc_a", "doc_b", "sig_a", "sig_b")
     )
-    pairs = staged(pairs, "pairs")
+
+    def likely(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            x, y = (np.frombuffer(b"".join(c.to_pylist()), dtype=np.uint32).reshape(-1, HASHES) for c in batch.columns[4:])
+            yield batch.filter(pa.array((x == y).sum(axis=1) >= LEAST_EQUAL)).select(["a", "b", "doc_a", "doc_b"])
+
+    # Most candidates are told apart by their signatures; whole sets are fetched for the others alone.
+    pairs = staged(described.mapInArrow(likely, "a binary, b binary, doc_a long, doc_b long"), "pairs")
     whole = _whole_sets(documents, pairs.select(F.col("doc_a").alias("doc_id")).union(pairs.select("doc_b")), words)
 
     def confirm(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -234,9 +248,8 @@ def _rest(members: DataFrame, roots: DataFrame, classes: DataFrame, documents: D
     return staged(rows.groupBy("region", "i", "j").applyInPandas(links, "a binary, b binary"), "links")
 
 
-def near_duplicates(documents: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
-    """(doc_id, n_shingles, component_id, kept) for every row: documents whose sets of ``words``-word shingles share at least
-    ``percent`` of their union are linked; component_id is the least doc_id that links reach."""
+def _labelled(documents: DataFrame, words: int, percent: int) -> tuple[DataFrame, DataFrame]:
+    """The sets of all rows, and (cls, root): the component of each class."""
     docs = staged(document_sets(documents, words), "sets")
     there = docs.where("cls is not null")
     classes = staged(there.groupBy("cls").agg(F.min("doc_id").alias("doc_id"), F.first("n_shingles").alias("n_shingles"), F.first("sig").alias("sig")), "classes")
@@ -247,7 +260,13 @@ def near_duplicates(documents: DataFrame, words: int = 5, percent: int = 80) ->
     roots = staged(components(links), "roots")
     links = links.union(_rest(members, roots, classes, documents, words, percent))
     roots = staged(components(links), "roots")
-    labelled = classes.join(roots, F.col("cls") == F.col("node"), "left").withColumn("root", F.coalesce("root", "cls"))
+    return docs, classes.select("cls", "doc_id").join(roots, F.col("cls") == F.col("node"), "left").withColumn("root", F.coalesce("root", "cls"))
+
+
+def near_duplicates(documents: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
+    """(doc_id, n_shingles, component_id, kept) for every row: documents whose sets of ``words``-word shingles share at least
+    ``percent`` of their union are linked; component_id is the least doc_id that links reach."""
+    docs, labelled = _labelled(documents, words, percent)
     least = labelled.groupBy("root").agg(F.min("doc_id").alias("component_id"))
     label = staged(labelled.select("cls", "root").join(least, "root").select("cls", "component_id"), "labels")
     return docs.join(label, "cls", "left").select(
@@ -259,8 +278,15 @@ def near_duplicates(documents: DataFrame, words: int = 5, percent: int = 80) ->
 
 
 def keep_one(documents: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
-    """One row of ``documents`` for each group, that with the least doc_id, with all columns; of rows that repeat a doc_id and
-    text one stays. Documents without words are kept as they are."""
-    gone = near_duplicates(documents, words, percent).where("not kept").select(F.col("doc_id").alias("_gone")).distinct()
-    left = documents.join(staged(gone, "gone"), F.col("doc_id").cast("long") == F.col("_gone"), "left_anti")
-    return left.dropDuplicates(["doc_id", "text"])
+    """One row of ``documents`` for each group, with all columns: that with the least doc_id (NULL last) and of its texts the
+    one with the least MD5; of rows that repeat a doc_id and text one stays. Rows go by id and text, so other texts under the
+    same id stay. Documents without words are kept as they are."""
+    docs, labelled = _labelled(documents, words, percent)
+    label = staged(labelled.select("cls", "root"), "labels")
+    order = F.struct(F.col("doc_id").isNull().alias("_none"), "doc_id", "content")
+    rows = staged(docs.where("cls is not null").join(label, "cls").select("root", order.alias("row")).distinct(), "rows")
+    kept = staged(rows.groupBy("root").agg(F.min("row").alias("kept")), "kept")
+    gone = rows.join(kept, "root").where(~F.col("row").eqNullSafe(F.col("kept")))
+    gone = staged(gone.select(F.col("row.doc_id").alias("_gone_id"), F.col("row.content").alias("_gone")), "gone")
+    same = F.col("doc_id").cast("long").eqNullSafe(F.col("_gone_id")) & (content_of(F.col("text")) == F.col("_gone"))
+    return documents.join(gone, same, "left_anti").dropDuplicates(["doc_id", "text"])
