@@ -34,10 +34,12 @@ _CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _ANY = re.compile(r"[0-9@]")
 
-# Tokens that look like identifiers: at least this many digits, and no longer than that.
-_TOKEN = re.compile(r"\S*[0-9]\S*")
-_LEAST_DIGITS, _LONGEST = 4, 64
+# Tokens that look like identifiers hold at least this many digits. A match starts at a token's start alone, so that a long
+# run without digits is looked at once.
+_TOKEN = re.compile(r"(?<!\S)\S*[0-9]\S*")
+_LEAST_DIGITS = 4
 _EDGE = ".,;:!?()[]{}<>\"'`"
+# Characters before a token that are looked at first for the words before it; more where these hold too few.
 _BEFORE = 80
 
 Span = tuple[str, int, int]
@@ -93,7 +95,10 @@ def listed(spans: Iterable[Span]) -> str:
 
 def _pattern(text: str, start: int) -> str | None:
     """The two words before a place, numbers made alike; None if there are none."""
-    words = text[max(0, start - _BEFORE) : start].lower().split()[-2:]
+    reach = _BEFORE
+    while len(words := text[max(0, start - reach) : start].lower().split()) < 3 and reach < start:
+        reach *= 2
+    words = words[-2:]
     return re.sub(r"[0-9]+", "#", " ".join(words)) if len(words) == 2 else None
 
 
@@ -111,7 +116,7 @@ def instances(text: str, spans: list[Span]) -> list[tuple[str, str, bool, int, i
         end = start + len(value.rstrip(_EDGE))
         while k < len(covered) and covered[k][1] <= start:
             k += 1
-        if (k < len(covered) and covered[k][0] < end) or end - start > _LONGEST:
+        if k < len(covered) and covered[k][0] < end:
             continue
         if sum("0" <= c <= "9" for c in text[start:end]) >= _LEAST_DIGITS:
             pattern = _pattern(text, start)
