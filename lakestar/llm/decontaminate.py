@@ -3,7 +3,7 @@
 1. Words are made canonical: numbers, names (capitalised words inside a sentence) and units behind numbers become typed placeholders,
    and the rest loses case and outer punctuation. ``WINDOW`` such words in a row are a template window.
 2. Windows of the benchmark and of the documents are hash-joined. Only windows with ``LITERALS`` words that are no placeholders
-   count, as a row of placeholders says nothing.
+   count, as a row of placeholders says nothing. An item's rarest windows are joined first; all of them only where one is met.
    A capitalised word that opens a sentence is both a literal and a name: each of its windows comes in both forms.
 3. Along one alignment of an item with a document, names and units must be filled consistently: one value of the item answers to
    one value of the document in most of its places, and the other way round. Windows with other fillings don't count; numbers
@@ -11,7 +11,7 @@
 
 Defined results: NULL and empty texts, and items without words, are clean and match nothing; items with no window that counts
 (fewer than ``WINDOW`` words, or too many placeholders) are found by the hash of all their words, with share 1; items of equal text are one
-item with the least item_id, which may be NULL; different texts of one item_id are different items; rows of one doc_id and text are judged alike and stay repeated; empty tables are
+item with the least item_id, which may be NULL; different texts of one item_id are different items; rows of one text are judged alike and stay repeated; empty tables are
 allowed; other columns are not read.
 """
 
@@ -22,7 +22,7 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from lakestar.llm.common import BASE, LOWER, bytes_of, mix, powers, prefix_hash, range_hash, staged, word_bounds
 
@@ -180,19 +180,19 @@ def _windows_of(texts: DataFrame, wanted: np.ndarray | None, lengths: list[int])
 
 
 def _covered(alignments: DataFrame) -> DataFrame:
-    """(id, content, item, place): places of items that the consistent windows of an alignment cover."""
+    """(content, item, place): places of items that the consistent windows of an alignment cover."""
 
     def pick(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             row, place = [], []
-            for i, found in enumerate(batch.column(3).to_pylist()):
+            for i, found in enumerate(batch.column(2).to_pylist()):
                 held = agreeing([(w["item_place"], w["item_slots"], w["slots"]) for w in found])
                 row += [i] * len(held)
                 place += held
-            kept = [batch.column(c).take(pa.array(row, pa.int64())) for c in range(3)]
-            yield pa.RecordBatch.from_arrays([*kept, pa.array(place, pa.int32())], ["id", "content", "item", "place"])
+            kept = [batch.column(c).take(pa.array(row, pa.int64())) for c in range(2)]
+            yield pa.RecordBatch.from_arrays([*kept, pa.array(place, pa.int32())], ["content", "item", "place"])
 
-    return alignments.select("id", "content", "item", "windows").mapInArrow(pick, "id long, content binary, item binary, place int")
+    return alignments.select("content", "item", "windows").mapInArrow(pick, "content binary, item binary, place int")
 
 
 def _keyed(table: DataFrame, key: str) -> DataFrame:
@@ -200,8 +200,26 @@ def _keyed(table: DataFrame, key: str) -> DataFrame:
     return table.select(F.col(key).cast("long").alias("id"), F.unhex(F.md5(text.cast("binary"))).alias("content"), text.alias("text"))
 
 
+def _candidates(found: DataFrame, asked: DataFrame) -> DataFrame:
+    """(content, item): texts that hold one of an item's rarest windows.
+
+    A contaminated text lacks at most a share of 1 - ``SHARE`` of an item's places, so it holds at least one of that many and one
+    more. Where these are the places whose windows the texts hold least often, a window that many texts and many items share
+    pairs only those that share everything else too.
+    """
+    met = found.groupBy("hash", "n").agg(F.count("*").alias("times"))
+    places = asked.select(F.col("content").alias("item"), "hash", "n", "place").join(met, ["hash", "n"], "left")
+    places = places.groupBy("item", "place").agg(F.sum(F.coalesce("times", F.lit(0))).alias("times"), F.collect_set(F.struct("hash", "n")).alias("forms"))
+    total = F.count("*").over(Window.partitionBy("item"))
+    rank = F.row_number().over(Window.partitionBy("item").orderBy("times", "place"))
+    # A little is added before rounding down: one place too many costs nothing, one too few would lose a text.
+    few = places.withColumn("few", F.floor(total * (1 - SHARE) + 1e-6) + 1).withColumn("rank", rank).where("rank <= few and times > 0")
+    rare = staged(few.select("item", F.explode("forms").alias("form")).select("item", "form.*").distinct(), "rare")
+    return staged(found.select("content", "hash", "n").join(rare, ["hash", "n"]).select("content", "item").distinct(), "candidates")
+
+
 def leaks(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """(doc_id, content, item_id, share): items that contaminate documents, and the share of their windows found.
+    """(content, item_id, share): items that contaminate texts, and the share of their windows found, for each different text.
     ``content`` is the MD5 of the text."""
     # Items of equal text are one item; the id is only its name.
     items = _keyed(benchmark, "item_id").groupBy("content").agg(F.min("id").alias("id"), F.first("text").alias("text"))
@@ -218,27 +236,29 @@ def leaks(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
         lookup = np.sort(wanted.toPandas()["hash"].to_numpy(dtype=np.int64).view(np.uint64))
         more = _windows_of(texts, lookup, lengths)
         found = more if found is None else found.union(more)
-    found = staged(found, "found")
+    # Copies of a text hold the same windows, however many there are and whatever their ids.
+    found = staged(found.drop("id").distinct(), "found")
     item = asked.select(F.col("content").alias("item"), "hash", "n", F.col("place").alias("item_place"), F.col("slots").alias("item_slots"))
-    met = found.join(item, ["hash", "n"]).withColumn("shift", F.col("place") - F.col("item_place"))
-    per_alignment = met.groupBy("id", "content", "item", "shift").agg(F.collect_set(F.struct("item_place", "item_slots", "slots")).alias("windows"))
+    sought = _candidates(found, asked).join(item, "item")
+    met = found.join(sought, ["content", "hash", "n"]).withColumn("shift", F.col("place") - F.col("item_place"))
+    per_alignment = met.groupBy("content", "item", "shift").agg(F.collect_set(F.struct("item_place", "item_slots", "slots")).alias("windows"))
     covered = _covered(per_alignment).distinct()
     total = asked.groupBy(F.col("content").alias("item")).agg(F.min("id").alias("item_id"), F.countDistinct("place").alias("total"))
-    shares = covered.groupBy("id", "content", "item").agg(F.count("*").alias("n")).join(total, "item")
-    shares = shares.select(F.col("id").alias("doc_id"), "content", "item_id", (F.col("n") / F.col("total")).alias("share"))
+    shares = covered.groupBy("content", "item").agg(F.count("*").alias("n")).join(total, "item")
+    shares = shares.select("content", "item_id", (F.col("n") / F.col("total")).alias("share"))
     return shares.where(F.col("share") >= SHARE)
 
 
 def judge(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
     """(doc_id, contaminated, n_items, item_id, share) of every row: how many items contaminate it, and the one with the largest
     share (of equal ones the least id)."""
-    best = leaks(documents, benchmark).groupBy("doc_id", "content").agg(
+    best = leaks(documents, benchmark).groupBy("content").agg(
         F.count("*").alias("n_items"), F.max(F.struct("share", (-F.col("item_id")).alias("item"))).alias("best")
     )
-    best = best.withColumnsRenamed({"doc_id": "_id", "content": "_content"})
+    # A table that is read, not a grouping on the join's key, so that a text with very many copies can be split.
+    best = staged(best.withColumnRenamed("content", "_content"), "best")
     docs = _keyed(documents, "doc_id").select(F.col("id").alias("doc_id"), "content")
-    joined = docs.join(best, docs["doc_id"].eqNullSafe(F.col("_id")) & (F.col("content") == F.col("_content")), "left")
-    return joined.select(
+    return docs.join(best, F.col("content") == F.col("_content"), "left").select(
         "doc_id",
         F.col("n_items").isNotNull().alias("contaminated"),
         F.coalesce("n_items", F.lit(0)).cast("long").alias("n_items"),
@@ -249,6 +269,6 @@ def judge(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 def keep_clean(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The rows of ``documents`` that no item contaminates, with all their columns."""
-    found = staged(leaks(documents, benchmark).select(F.col("doc_id").alias("_leak_id"), F.col("content").alias("_leak")).distinct(), "leaks")
+    found = staged(leaks(documents, benchmark).select(F.col("content").alias("_leak")).distinct(), "leaks")
     content = F.unhex(F.md5(F.coalesce(F.col("text"), F.lit("")).cast("binary")))
-    return documents.join(found, F.col("doc_id").cast("long").eqNullSafe(F.col("_leak_id")) & (content == F.col("_leak")), "left_anti")
+    return documents.join(found, content == F.col("_leak"), "left_anti")

@@ -13,6 +13,7 @@ from __future__ import annotations
 
 import zlib
 from collections.abc import Iterable, Iterator
+from itertools import count
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
@@ -135,15 +136,16 @@ def complete_bins(counts: dict[int, int], capacity: int = CAPACITY) -> list[Patt
 
 
 def cut(documents: DataFrame, tokenizer: str, capacity: int = CAPACITY, with_ids: bool = False) -> DataFrame:
-    """Token pieces (doc_id, piece, start, length, ids_crc32, and ids if asked for) of all documents.
+    """Token pieces (doc_id, piece, start, length, ids_crc32, nth, and ids if asked for) of all documents.
 
-    Only documents of more than ``capacity`` tokens are cut; the first piece takes what doesn't fill a whole one.
+    Only documents of more than ``capacity`` tokens are cut; the first piece takes what doesn't fill a whole one. ``nth`` is the
+    row's number in its task, which tells apart rows that are equal in all else.
     """
-    fields = [("doc_id", pa.int64()), ("piece", pa.int32()), ("start", pa.int64()), ("length", pa.int64()), ("ids_crc32", pa.int64())]
+    fields = [("doc_id", pa.int64()), ("piece", pa.int32()), ("start", pa.int64()), ("length", pa.int64()), ("ids_crc32", pa.int64()), ("nth", pa.int64())]
     out = pa.schema(fields + [("ids", pa.list_(pa.int64()))] * with_ids)
 
     def pieces(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = encoder(tokenizer)
+        known, nth = encoder(tokenizer), count()
         for batch in batches:
             rows = []
             for doc_id, ids in zip(batch.column(0).to_pylist(), known.documents(batch.column(1)), strict=True):
@@ -151,18 +153,19 @@ def cut(documents: DataFrame, tokenizer: str, capacity: int = CAPACITY, with_ids
                 ends = [first, *range(first + capacity, len(ids) + 1, capacity)]
                 for k, (a, b) in enumerate(zip([0, *ends], ends)):
                     part = ids[a:b]
-                    rows.append((doc_id, k, a, b - a, zlib.crc32(part.tobytes()), *[part.tolist()] * with_ids))
+                    rows.append((doc_id, k, a, b - a, zlib.crc32(part.tobytes()), next(nth), *[part.tolist()] * with_ids))
             columns = zip(*rows, strict=True) if rows else [[]] * len(out)
             yield pa.RecordBatch.from_arrays([pa.array(list(c), type=f.type) for c, f in zip(columns, out, strict=True)], schema=out)
 
-    schema = "doc_id long, piece int, start long, length long, ids_crc32 long" + ", ids array<long>" * with_ids
+    schema = "doc_id long, piece int, start long, length long, ids_crc32 long, nth long" + ", ids array<long>" * with_ids
     return text_or_empty(documents).mapInArrow(pieces, schema)
 
 
 def pack(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     """``pieces`` (doc_id, piece, length from 1 to ``capacity``, and any other columns) with sequence_id and offset.
 
-    ``pieces`` is read twice and must be a written table.
+    ``pieces`` is read twice and must be a written table. Pieces of one length are numbered bucket by bucket; a column ``nth``
+    spreads rows that share the rest, so that a repeated or missing doc_id fills no bucket alone.
     """
     spark = pieces.sparkSession
     counts = {r["length"]: r["n"] for r in pieces.groupBy("length").agg(F.count("*").alias("n")).collect()}
@@ -181,13 +184,14 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
 
     total = sum(counts.values())
     buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-total // BUCKET_ROWS))
-    spread = pieces.withColumn("_bucket", F.pmod(F.xxhash64("doc_id", "piece", "start"), F.lit(buckets)).cast("int"))
+    keys = [c for c in ("doc_id", "piece", "start", "ids_crc32", "nth") if c in pieces.columns]
+    spread = pieces.withColumn("_bucket", F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int"))
     before = (
         spread.groupBy("length", "_bucket").agg(F.count("*").alias("_n"))
         .withColumn("_before", F.sum("_n").over(Window.partitionBy("length").orderBy("_bucket")) - F.col("_n"))
         .drop("_n")
     )
-    place = Window.partitionBy("length", "_bucket").orderBy("doc_id", "piece", "start", "ids_crc32")
+    place = Window.partitionBy("length", "_bucket").orderBy(*keys)
     ranked = (
         spread.withColumn("_place", F.row_number().over(place) - 1)
         .join(before, ["length", "_bucket"])
@@ -206,4 +210,4 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
 
 def pack_documents(documents: DataFrame, tokenizer: str, capacity: int = CAPACITY, with_ids: bool = False) -> DataFrame:
     """Cut all documents and pack the pieces."""
-    return pack(staged(cut(documents, tokenizer, capacity, with_ids), "pieces"), capacity)
+    return pack(staged(cut(documents, tokenizer, capacity, with_ids), "pieces"), capacity).drop("nth")

@@ -194,7 +194,8 @@ def learned_spans(found: DataFrame) -> DataFrame:
 def find_personal_data(documents: DataFrame) -> DataFrame:
     """(doc_id, n_email, n_ip, n_card, n_phone, base, spans) of every row; base and spans list kind:start:end."""
     found = staged(find_base(documents), "found")
-    added = learned_spans(found).withColumnsRenamed({"doc_id": "_id", "content": "_content"})
+    # A table that is read, not a grouping on the join's keys, so that a text with very many copies can be split.
+    added = staged(learned_spans(found).withColumnsRenamed({"doc_id": "_id", "content": "_content"}), "added")
     plain = found.drop("instances")
     joined = plain.join(added, plain["doc_id"].eqNullSafe(F.col("_id")) & (plain["content"] == F.col("_content")), "left")
     base = F.when(F.col("base") == "", F.expr("array()").cast("array<string>")).otherwise(F.split("base", ","))
@@ -223,7 +224,8 @@ def redact(text: str, spans: Iterable[Span]) -> str:
 
 def redact_documents(documents: DataFrame) -> DataFrame:
     """``documents`` with all found spans replaced in ``text`` (NULL stays NULL); columns and rows stay."""
-    added = learned_spans(staged(find_base(documents), "found")).withColumnsRenamed({"doc_id": "_id", "content": "_content", "added": "_added"})
+    added = learned_spans(staged(find_base(documents), "found"))
+    added = staged(added.withColumnsRenamed({"doc_id": "_id", "content": "_content", "added": "_added"}), "added")
     content = F.unhex(F.md5(F.coalesce(F.col("text"), F.lit("")).cast("binary")))
     joined = documents.join(added, documents["doc_id"].cast("long").eqNullSafe(F.col("_id")) & (content == F.col("_content")), "left").drop("_id", "_content")
     text, names = documents.columns.index("text"), [*documents.columns]
