@@ -428,3 +428,16 @@ def test_silhouette_is_that_of_all_pairs(spark):
     assert found == {c: (len(v), pytest.approx(sum(v) / len(v))) for c, v in expected.items()}
     assert rows(scoring.cluster_quality(table.where("cluster = 'a'"), ["x", "y"]))[0][2] == 0.0
     assert scoring.cluster_quality(table.limit(0), ["x", "y"]).count() == 0
+
+
+def test_silver_losses_counts_without_storing_typed_tables(spark, tmp_path):
+    from lakestar.session import scratch_root
+    from workload import layers  # noqa: F401  (registers the query)
+    from workload.registry import QUERIES
+
+    spark.createDataFrame([(k,) for k in (1, 2, 999, 1000, 5000)], "o_orderkey long").write.parquet(str(tmp_path / "orders.parquet"))
+    found = QUERIES["silver_losses"](spark, str(tmp_path)).collect()
+    assert len(found) == sum(len(spec.rule_names()) for spec in SILVER_TABLES.values())
+    assert {r["rows"] for r in found} == {5}
+    scratch = Path(scratch_root(spark))
+    assert not list(scratch.glob("typed-*")) if scratch.exists() else True
