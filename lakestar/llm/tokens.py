@@ -18,8 +18,9 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-# Bytes of text that are cut into chunks together (a bound on the worker's memory but for longer texts), words per call.
-SLICE_BYTES, WORDS = 1 << 24, 20_000
+# Bytes of text that are cut into chunks together (a bound on the worker's memory but for longer texts: its arrays take about
+# twelve times as much), words per call.
+SLICE_BYTES, WORDS = 1 << 22, 20_000
 # Documents end with this id.
 END_ID = 2
 
